@@ -1,0 +1 @@
+"""Empty on purpose: every table of this engine is bounded, no job reads a stream."""
