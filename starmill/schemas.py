@@ -9,7 +9,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 STAGING_TABLE = "mock_data"
@@ -269,4 +268,6 @@ def text_limits() -> dict[str, int]:
 
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to a table's schema; the one cast before each write."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema])
+    return df.selectExpr(
+        *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
+    )
