@@ -6,6 +6,7 @@ folder instead of repeating the joins before it, also after an executor is lost.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable
@@ -28,7 +29,7 @@ def stage_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local["):
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_folder()
 
