@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from starmill.functions.dates import SALE_DATE_FORMAT
 from starmill.operators.dense_key import with_dense_key
-from starmill.plans.star import FACT_ORDER, LOOKUP_ORDER
+from starmill.operators.lookup import Lookup, prepare
+from starmill.plans.star import FACT_ORDER, LOOKUP_ORDER, fact_inputs
 from starmill.schemas import (
     DATE,
     FACT_MEASURES,
@@ -67,22 +68,20 @@ def _gap_free_start(staging: DataFrame) -> int | None:
     return None
 
 
-def fact_sql() -> str:
-    """Sales joined with seven dimensions; ``{staging}`` and ``{dim_*}`` are tables."""
-    keys = ", ".join(f"{dim.table}.{dim.key}" for dim in LOOKUP_ORDER)
-    measures = ", ".join(f"m.{c}" for c in FACT_MEASURES)
-    joins = []
-    for dim in LOOKUP_ORDER:
-        matches = " AND ".join(
-            f"{_SALE_DAY if dim is DATE else 'm.' + dim.source(c)} = {dim.table}.{c}"
-            for c in dim.lookup
-        )
-        joins.append(f"JOIN {{{dim.table}}} AS {dim.table} ON {matches}")
-    return f"SELECT m.id, {keys}, {measures} FROM {{staging}} AS m " + " ".join(joins)
+def fact_sql(lookups: Mapping[str, Lookup]) -> str:
+    """Sales joined with seven lookups; names in braces are tables handed in."""
+    keys = ", ".join(dim.key for dim in LOOKUP_ORDER)
+    joins = " ".join(
+        f"JOIN {{{table}}} AS {table} USING ({', '.join(lookup.on)})"
+        for table, lookup in lookups.items()
+    )
+    return f"SELECT id, {keys}, {', '.join(FACT_MEASURES)} FROM {{sales}} AS sales {joins}"
 
 
 def build_fact_sql(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
-    rows = staging.sparkSession.sql(fact_sql(), staging=staging, **dims)
+    sales, lookups = prepare(*fact_inputs(staging, dims), row_id="id")
+    tables = {table: lookup.rows for table, lookup in lookups.items()}
+    rows = staging.sparkSession.sql(fact_sql(lookups), sales=sales, **tables)
     return conform(
         with_dense_key(rows, "sale_id", FACT_ORDER, f"{FACT_TABLE}_sql"), fact_schema()
     )

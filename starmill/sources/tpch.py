@@ -12,13 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.operators.dense_key import with_dense_key
+from starmill.operators.lookup import Lookup, join_all
 from starmill.schemas import STAGING_TABLE, conform, staging_schema
+from starmill.sources.stage import stage
 
 # Lines are numbered in this order. Lines that tie on all of it are copies.
 LINE_ORDER = (
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_quantity",
 )
+LINE_COPY = "l_copy"
 
 # The staging columns after id, over the joined order tables.
 STAGING_EXPRESSIONS = {
@@ -84,9 +87,7 @@ STAGING_EXPRESSIONS = {
 def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Order lines joined with what the staging columns need, and no more.
 
-    Orders meet their customers before the lines, while they are few. Otherwise
-    a table is joined as it is scanned: the size of a file is known, that of a
-    join is not, and Spark broadcasts by size.
+    Orders meet their customers before the lines, while they are few.
     """
 
     def table(name: str, key: str, *columns: str) -> DataFrame:
@@ -107,14 +108,20 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
         .join(nation("c"), "c_nationkey")
         .drop("c_nationkey")
     )
+    # The number of a line, fixed by the files, tells copies apart.
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        *LINE_ORDER, F.monotonically_increasing_id().alias(LINE_COPY)
+    )
     part = table("part", "l_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice")
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(*LINE_ORDER)
-    return (
-        lines.join(part, "l_partkey")
-        .join(table("supplier", "l_suppkey", "s_name", "s_nationkey"), "l_suppkey")
-        .join(nation("s"), "s_nationkey")
-        .join(orders, "l_orderkey")
+    supplier = table("supplier", "l_suppkey", "s_name", "s_nationkey").join(
+        nation("s"), "s_nationkey"
     )
+    lookups = {
+        "part": Lookup(part, ("l_partkey",)),
+        "supplier": Lookup(supplier, ("l_suppkey",)),
+        "orders": Lookup(stage(orders, "orders")[0], ("l_orderkey",)),
+    }
+    return join_all(lines, lookups, row_id=LINE_COPY, keep_keys=True)
 
 
 def staging_from_orders(spark: SparkSession, folder: str) -> DataFrame:
@@ -124,7 +131,7 @@ def staging_from_orders(spark: SparkSession, folder: str) -> DataFrame:
     expressions on top, so a reader computes only those it selects.
     """
     lines = with_dense_key(
-        order_lines(spark, folder), "id", LINE_ORDER, STAGING_TABLE, repeated_rows=True
+        order_lines(spark, folder), "id", (*LINE_ORDER, LINE_COPY), STAGING_TABLE
     )
     columns = [f"{sql} AS {name}" for name, sql in STAGING_EXPRESSIONS.items()]
     return conform(lines.selectExpr("id", *columns), staging_schema())

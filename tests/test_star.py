@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 from sales import sale, staging, star, tuples
 from starmill.functions.dates import sale_day
-from starmill.operators import dense_key
+from starmill.operators import dense_key, lookup
 from starmill.plans.sql_star import build_fact_sql, raw_dimension
 from starmill.plans.star import build_dimensions, build_fact
 from starmill.schemas import (
@@ -91,8 +91,10 @@ def test_star_does_not_depend_on_partitioning(
 ):
     conf("spark.sql.shuffle.partitions", str(partitions))
     conf("spark.sql.adaptive.enabled", adaptive)
-    # No broadcast joins either: large dimensions are joined by shuffle.
+    # No broadcast joins either: large dimensions are joined by shuffle, hot keys cut.
     conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(lookup, "SPREAD_FROM_ROWS", 0)
     monkeypatch.setattr(dense_key, "_SMALL_PARTITION_ROWS", rows_each)
     rows = ws.staging.repartition(7)
     dims = build_dimensions(rows)
