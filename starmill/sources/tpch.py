@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmill.operators.dense_key import with_dense_key
-from starmill.operators.lookup import Lookup, join_all
+from starmill.operators.lookup import SPREAD_FROM_ROWS, Lookup, join_all
 from starmill.schemas import STAGING_TABLE, conform, staging_schema
 from starmill.sources.stage import stage
 
@@ -112,6 +112,9 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
         *LINE_ORDER, F.monotonically_increasing_id().alias(LINE_COPY)
     )
+    if lines.count() < SPREAD_FROM_ROWS:
+        # A short table often is one row group, which one task would read and join alone.
+        lines = lines.repartition(LINE_COPY)
     part = table("part", "l_partkey", "p_name", "p_type", "p_brand", "p_size", "p_retailprice")
     supplier = table("supplier", "l_suppkey", "s_name", "s_nationkey").join(
         nation("s"), "s_nationkey"
