@@ -46,6 +46,8 @@ def main() -> None:
         .appName("bench")
         .config("spark.sql.shuffle.partitions", cpus)
         .config("spark.driver.memory", "16g")
+        # A pass compiles more than the default 100 plans, which would push each other out.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
