@@ -22,7 +22,7 @@ def spark_rows(df) -> tuple[list[str], Counter]:
 
 
 def duckdb_rows(con, sql: str) -> tuple[list[str], Counter]:
-    table = con.execute(sql).to_arrow_table()
+    table = con.sql(sql).to_arrow_table()
     names = sorted(table.column_names)
     return names, _counted(table.select(names), names)
 
