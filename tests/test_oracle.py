@@ -2,11 +2,12 @@
 
 import __spark_entry__ as contract
 import pytest
+import star_oracle
 from compare import connect, difference
 from conftest import SMALL
 
-QUERIES = contract.queries()
-ORACLE = contract.oracle_sql()
+ORACLE = star_oracle.statements()
+QUERIES = {name: query for name, query in contract.queries().items() if name in contract._QUERIES}
 
 # Row counts at the smallest scale.
 GOLDEN = {
