@@ -6,7 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmill.llm.decontaminate import contamination_digest
 from starmill.llm.fingerprints import fingerprint_neighbours
+from starmill.llm.line_dedup import dedup_digest
+from starmill.llm.token_counts import token_counts
+
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -17,8 +22,79 @@ def op1_fingerprints(spark: SparkSession, folder: str) -> DataFrame:
     return fingerprint_neighbours(_table(spark, folder, "documents"))
 
 
+def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return contamination_digest(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_counts(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return dedup_digest(_table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints,)
+    f.__name__: f for f in (op1_fingerprints, op2_decontamination, op5_token_counts, op10_line_dedup)
 }
 
-SQL: dict[str, str] = {}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+
+def _lowered(column: str) -> str:
+    return f"translate(coalesce({column}, ''), '{_UPPER}', '{_LOWER}')"
+
+
+_ALPHANUMERIC = r"[0-9a-z\x{80}-\x{10FFFF}]+"
+
+_OP2 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_lowered("text")}, '{_ALPHANUMERIC}') AS w FROM documents),
+b AS (SELECT item_id, regexp_extract_all({_lowered("text")}, '{_ALPHANUMERIC}') AS w FROM benchmark),
+wins AS (
+    SELECT DISTINCT item_id, least(10, len(w)) AS size,
+           array_to_string(w[i:i + least(10, len(w)) - 1], ' ') AS win
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS i FROM b WHERE len(w) > 0)
+),
+places AS (
+    SELECT doc_id, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+    FROM (SELECT doc_id, w, size, unnest(range(1, len(w) - size + 2)) AS i
+          FROM d, (SELECT DISTINCT size FROM wins) WHERE len(w) >= size)
+),
+hits AS (SELECT doc_id, i, size, item_id FROM places JOIN wins USING (size, win)),
+words AS (SELECT DISTINCT doc_id, unnest(range(i, i + size)) AS at FROM hits),
+n AS (SELECT doc_id, count(*) AS n_hit FROM words GROUP BY doc_id),
+items AS (
+    SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS listed
+    FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+       CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(listed, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)
+"""
+
+_SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
+
+_OP10 = f"""
+WITH lines AS (
+    SELECT doc_id, i, line, {_lowered(f"trim(line, {_SPACES})")} AS key
+    FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                 generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+          FROM documents)
+),
+common AS (
+    SELECT key, max(doc_id) AS keeper FROM lines WHERE length(key) >= 40
+    GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+),
+marked AS (
+    SELECT doc_id, i, line, keeper IS NOT NULL AND keeper <> doc_id AS gone
+    FROM lines LEFT JOIN common USING (key)
+)
+SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count_if(gone) AS BIGINT) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id
+"""
+
+SQL: dict[str, str] = {"op2_decontamination": _OP2, "op10_line_dedup": _OP10}
