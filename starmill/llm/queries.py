@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starmill.llm.decontaminate import contamination_digest
 from starmill.llm.fingerprints import fingerprint_neighbours
+from starmill.llm.jaccard_join import near_duplicates
 from starmill.llm.line_dedup import dedup_digest
 from starmill.llm.token_counts import token_counts
 
@@ -32,12 +33,17 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(_table(spark, folder, "documents"), words_per_shingle=3, percent=90)
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_digest(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_decontamination, op5_token_counts, op10_line_dedup)
+    f.__name__: f for f in (
+        op1_fingerprints, op2_decontamination, op5_token_counts, op8_jaccard_join, op10_line_dedup)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -75,6 +81,34 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+_WORD = r"[^\x20\x09-\x0D]+"
+
+_OP8 = f"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all({_lowered("text")}, '{_WORD}') AS w FROM documents
+),
+sets AS (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 2], ' ') AS shingle
+    FROM (SELECT *, unnest(range(1, greatest(len(w) - 3, 0) + 2)) AS i FROM d WHERE len(w) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+shared AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+    FROM sets a JOIN sets b ON a.shingle = b.shingle AND a.doc_id < b.doc_id GROUP BY x, y
+),
+links AS (
+    SELECT x, y FROM shared o JOIN sizes a ON a.doc_id = x JOIN sizes b ON b.doc_id = y
+    WHERE 100 * o.n >= 90 * (a.n + b.n - o.n)
+),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reached AS (
+    SELECT doc_id AS x, doc_id AS y FROM documents
+    UNION SELECT r.x, e.y FROM reached r JOIN edges e ON r.y = e.x
+)
+SELECT doc_id, CAST(coalesce(any_value(n), 0) AS BIGINT) AS n_shingles, min(y) AS component_id
+FROM reached JOIN documents ON doc_id = x LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
+
 _SPACES = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
 _OP10 = f"""
@@ -97,4 +131,4 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count_if(gone) AS BIGIN
 FROM marked GROUP BY doc_id
 """
 
-SQL: dict[str, str] = {"op2_decontamination": _OP2, "op10_line_dedup": _OP10}
+SQL: dict[str, str] = {"op2_decontamination": _OP2, "op8_jaccard_join": _OP8, "op10_line_dedup": _OP10}
