@@ -11,6 +11,7 @@ from starmill.llm.fingerprints import fingerprint_neighbours
 from starmill.llm.jaccard_join import near_duplicates
 from starmill.llm.line_dedup import dedup_digest
 from starmill.llm.token_counts import token_counts
+from starmill.llm.warc import archive_roundtrip
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -33,6 +34,10 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_roundtrip(_table(spark, folder, "pages"))
+
+
 def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), words_per_shingle=3, percent=90)
 
@@ -43,7 +48,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_fingerprints, op2_decontamination, op5_token_counts, op8_jaccard_join, op10_line_dedup)
+        op1_fingerprints, op2_decontamination, op5_token_counts, op7_warc, op8_jaccard_join, op10_line_dedup)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -81,6 +86,24 @@ SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIG
 FROM d LEFT JOIN n USING (doc_id) LEFT JOIN items USING (doc_id)
 """
 
+# 160 bits as 32 groups of five: five hexadecimal digits are four groups.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', "
+    f"CAST(((CAST('0x' || substr(hash, {1 + 5 * i}, 5) AS INTEGER) >> {15 - 5 * k}) & 31) + 1 AS INTEGER), 1)"
+    for i in range(8) for k in range(4))
+
+_OP7 = f"""
+WITH p AS (
+    SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes, sha1(coalesce(html, '')) AS hash
+    FROM pages
+),
+f AS (SELECT hash, min(page_id) AS first FROM p GROUP BY hash)
+SELECT page_id, payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > first THEN first END AS refers_to
+FROM p JOIN f USING (hash)
+"""
+
 _WORD = r"[^\x20\x09-\x0D]+"
 
 _OP8 = f"""
@@ -131,4 +154,4 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count_if(gone) AS BIGIN
 FROM marked GROUP BY doc_id
 """
 
-SQL: dict[str, str] = {"op2_decontamination": _OP2, "op8_jaccard_join": _OP8, "op10_line_dedup": _OP10}
+SQL: dict[str, str] = {"op2_decontamination": _OP2, "op7_warc": _OP7, "op8_jaccard_join": _OP8, "op10_line_dedup": _OP10}
