@@ -11,6 +11,7 @@ from starmill.llm.fingerprints import fingerprint_neighbours
 from starmill.llm.jaccard_join import near_duplicates
 from starmill.llm.line_dedup import dedup_digest
 from starmill.llm.token_counts import token_counts
+from starmill.llm.toxicity import toxicity
 from starmill.llm.warc import archive_roundtrip
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -28,6 +29,10 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return contamination_digest(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
 
 
+def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -48,7 +53,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_fingerprints, op2_decontamination, op5_token_counts, op7_warc, op8_jaccard_join, op10_line_dedup)
+        op1_fingerprints, op2_decontamination, op3_toxicity, op5_token_counts, op7_warc, op8_jaccard_join, op10_line_dedup)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
