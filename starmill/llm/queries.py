@@ -10,6 +10,7 @@ from starmill.llm.decontaminate import contamination_digest
 from starmill.llm.fingerprints import fingerprint_neighbours
 from starmill.llm.jaccard_join import near_duplicates
 from starmill.llm.line_dedup import dedup_digest
+from starmill.llm.personal_data import personal_data
 from starmill.llm.token_counts import token_counts
 from starmill.llm.toxicity import toxicity
 from starmill.llm.warc import archive_roundtrip
@@ -33,6 +34,10 @@ def op3_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
 
 
+def op4_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    return personal_data(_table(spark, folder, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -53,7 +58,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_fingerprints, op2_decontamination, op3_toxicity, op5_token_counts, op7_warc, op8_jaccard_join, op10_line_dedup)
+        op1_fingerprints, op2_decontamination, op3_toxicity, op4_personal_data, op5_token_counts, op7_warc, op8_jaccard_join, op10_line_dedup)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
