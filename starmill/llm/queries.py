@@ -10,6 +10,7 @@ from starmill.llm.decontaminate import contamination_digest
 from starmill.llm.fingerprints import fingerprint_neighbours
 from starmill.llm.jaccard_join import near_duplicates
 from starmill.llm.line_dedup import dedup_digest
+from starmill.llm.lm_scoring import language_scores
 from starmill.llm.personal_data import personal_data
 from starmill.llm.token_counts import token_counts
 from starmill.llm.toxicity import toxicity
@@ -44,6 +45,10 @@ def op5_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts(_table(spark, folder, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op6_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return language_scores(_table(spark, folder, "documents"))
+
+
 def op7_warc(spark: SparkSession, folder: str) -> DataFrame:
     return archive_roundtrip(_table(spark, folder, "pages"))
 
@@ -58,7 +63,7 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_fingerprints, op2_decontamination, op3_toxicity, op4_personal_data, op5_token_counts, op7_warc, op8_jaccard_join, op10_line_dedup)
+        op1_fingerprints, op2_decontamination, op3_toxicity, op4_personal_data, op5_token_counts, op6_lm_scoring, op7_warc, op8_jaccard_join, op10_line_dedup)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
