@@ -11,6 +11,7 @@ from starmill.llm.fingerprints import fingerprint_neighbours
 from starmill.llm.jaccard_join import near_duplicates
 from starmill.llm.line_dedup import dedup_digest
 from starmill.llm.lm_scoring import language_scores
+from starmill.llm.mixing import KEEP, MARGINS, POWERS, SALT, SWEEPS, TOPIC_BYTES, TOPICS, mixture
 from starmill.llm.personal_data import personal_data
 from starmill.llm.token_counts import token_counts
 from starmill.llm.toxicity import toxicity
@@ -57,13 +58,18 @@ def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(_table(spark, folder, "documents"), words_per_shingle=3, percent=90)
 
 
+def op9_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixture(_table(spark, folder, "documents"))
+
+
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_digest(_table(spark, folder, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_fingerprints, op2_decontamination, op3_toxicity, op4_personal_data, op5_token_counts, op6_lm_scoring, op7_warc, op8_jaccard_join, op10_line_dedup)
+        op1_fingerprints, op2_decontamination, op3_toxicity, op4_personal_data, op5_token_counts, op6_lm_scoring, op7_warc, op8_jaccard_join, op9_mixing,
+        op10_line_dedup)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -169,4 +175,52 @@ SELECT doc_id, CAST(count(*) AS BIGINT) AS n_lines, CAST(count_if(gone) AS BIGIN
 FROM marked GROUP BY doc_id
 """
 
-SQL: dict[str, str] = {"op2_decontamination": _OP2, "op7_warc": _OP7, "op8_jaccard_join": _OP8, "op10_line_dedup": _OP10}
+_WEIGHTS = ",\n".join(f"""
+t_{m} AS (SELECT {m}, p / sum(p) OVER () AS t
+          FROM (SELECT {m}, pow(CAST(sum(tokens) AS DOUBLE), {POWERS[m]}) AS p FROM cells GROUP BY {m}))"""
+                       for m in MARGINS)
+_RAKED = ",\n".join(f"""
+w{k + 1} AS (SELECT w{k}.* EXCLUDE (w), w * t / sum(w) OVER (PARTITION BY {m}) AS w FROM w{k} JOIN t_{m} USING ({m}))"""
+                    for k, m in enumerate(MARGINS * SWEEPS))
+
+_OP9 = f"""
+WITH d AS (
+    SELECT doc_id, source AS src, lang AS lng, coalesce(source, '(none)') AS source, coalesce(lang, '(none)') AS lang,
+           regexp_extract_all({_lowered("text")}, '{_WORD}') AS w
+    FROM documents
+),
+counted AS (
+    SELECT doc_id, word, count(*) AS n FROM (SELECT doc_id, unnest(w) AS word FROM d)
+    WHERE strlen(word) >= {TOPIC_BYTES} GROUP BY doc_id, word
+),
+best AS (
+    SELECT doc_id, CAST(CAST('0x' || substr(md5(word), 1, 8) AS BIGINT) % {TOPICS} AS INTEGER) AS topic
+    FROM counted QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY n DESC, word) = 1
+),
+rows AS (
+    SELECT doc_id, src, lng, source, lang, coalesce(topic, -1) AS topic, CAST(len(w) + 1 AS BIGINT) AS tokens
+    FROM d LEFT JOIN best USING (doc_id)
+),
+cells AS (SELECT source, lang, topic, sum(tokens) AS tokens FROM rows GROUP BY ALL),
+{_WEIGHTS},
+w0 AS (SELECT source, lang, topic, tokens, sum(tokens) OVER () AS total, tokens / sum(tokens) OVER () AS w FROM cells),
+{_RAKED},
+factors AS (SELECT source, lang, topic, tokens, total, w * total / tokens AS factor FROM w{len(MARGINS) * SWEEPS}),
+-- Cells by factor: the first ones are whole, up to the first for which the rest suffices.
+ranked AS (
+    SELECT *, row_number() OVER o AS i, sum(tokens) OVER o - tokens AS before,
+           sum(tokens * factor) OVER (ORDER BY factor, source DESC, lang DESC, topic DESC) AS rest
+    FROM factors WINDOW o AS (ORDER BY factor DESC, source, lang, topic)
+),
+scale AS (
+    SELECT arg_min(({KEEP} * total - before) / rest, i) AS s FROM ranked WHERE factor * ({KEEP} * total - before) / rest <= 1
+),
+p AS (SELECT *, least(factor * s, 1) AS probability, greatest(factor * s, 1) AS weight FROM factors, scale)
+SELECT doc_id, src AS source, lng AS lang, topic, tokens_of AS n_tokens, round(factor, 6) AS factor,
+       round(probability, 6) AS probability, round(weight, 6) AS weight,
+       CAST('0x' || substr(md5('{SALT}:' || doc_id), 1, 12) AS BIGINT) / CAST({16 ** 12} AS DOUBLE) < probability AS kept
+FROM (SELECT * EXCLUDE (tokens), tokens AS tokens_of FROM rows) JOIN p USING (source, lang, topic)
+"""
+
+SQL: dict[str, str] = {"op2_decontamination": _OP2, "op7_warc": _OP7, "op8_jaccard_join": _OP8,
+    "op9_mixing": _OP9, "op10_line_dedup": _OP10}
