@@ -220,8 +220,7 @@ _SCAN = ("doc_id long, text_hash long, n_lines long, n_dropped long, kept string
          "keys array<binary>")
 
 
-def _scan(batches: Iterator[pa.RecordBatch], known: Probe, min_chars: int,
-          with_text: bool) -> Iterator[pa.RecordBatch]:
+def _scan(batches: Iterator[pa.RecordBatch], known: Probe, min_chars: int) -> Iterator[pa.RecordBatch]:
     """Finished rows of documents without a known line; others with their text and such keys."""
     for batch in slices(batches, "text"):
         texts = [t.encode() for t in filled(batch.column("text")).to_pylist()]
@@ -230,7 +229,7 @@ def _scan(batches: Iterator[pa.RecordBatch], known: Probe, min_chars: int,
         hit = known([k for own in keys for k in own]).tolist()
         flags = iter(hit)
         found = [[k for k in own if next(flags)] for own in keys]
-        kept = [t.decode() if f or with_text else None for t, f in zip(texts, found)]
+        kept = [t.decode() if f else None for t, f in zip(texts, found)]
         digest = [None if f else hashlib.sha256(t).hexdigest() for t, f in zip(texts, found)]
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), batch.column("text_hash"),
@@ -268,7 +267,7 @@ def dedup_lines(docs: DataFrame, refs: DataFrame | None = None, min_chars: int =
     not given). Null and empty texts are one empty line. Null ids count as one document,
     smaller than all others. Rows that repeat an id are one document, each with its result.
     One row per row: doc_id, text_hash (of the text before), n_lines, n_dropped, kept (the
-    text left, null unless ``with_text``), kept_sha256.
+    text left; null unless ``with_text``, and where no line could go), kept_sha256.
     """
     refs = references(docs, min_chars) if refs is None else refs
     refs, _ = stage(refs, "line-refs")
@@ -277,7 +276,7 @@ def dedup_lines(docs: DataFrame, refs: DataFrame | None = None, min_chars: int =
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     rows = rows.withColumn("text_hash", F.xxhash64("text"))
-    scanned, _ = stage(map_arrow(rows, lambda b: _scan(b, known, min_chars, with_text), _SCAN), "line-scan")
+    scanned, _ = stage(map_arrow(rows, lambda b: _scan(b, known, min_chars), _SCAN), "line-scan")
 
     done = scanned.filter(F.col("keys").isNull()).drop("keys")
     open_rows = scanned.filter(F.col("keys").isNotNull())
@@ -299,11 +298,10 @@ def dedup_digest(docs: DataFrame) -> DataFrame:
 
 def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """The documents with their own columns, text and n_chars (if any) as after dedup."""
-    spark = docs.sparkSession
-    result, _ = stage(dedup_lines(docs, min_chars=min_chars, min_docs=min_docs).filter("n_dropped > 0")
-                      .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"),
-                              F.col("kept").alias("_kept")).distinct(), "line-changes")
-    del spark
+    result = dedup_lines(docs, min_chars=min_chars, min_docs=min_docs).filter("n_dropped > 0").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("kept").alias("_kept"))
+    # Repeated rows have equal results.
+    result = result.groupBy("_id", "_hash").agg(F.first("_kept").alias("_kept"))
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
     joined = docs.join(result, same, "left")
