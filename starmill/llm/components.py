@@ -14,34 +14,39 @@ from pyspark.sql import functions as F
 from starmill.sources.stage import stage
 
 
+# Edges per partition of a table between rounds.
+_PART_EDGES = 200_000
+
+
 def _checksum(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)"))).first())
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
-    """(node, root) for every node of edges (a, b): root is the smallest node of its component.
+    """(node, root) for the nodes of edges (a, b) that are not the smallest of their component:
+    root is that smallest node.
 
     Loops and repeated edges are fine; edges with a null end are left out.
     """
     u, v = F.greatest("a", "b"), F.least("a", "b")
-    current, _ = stage(
+    current, n = stage(
         edges.filter(F.col("a") != F.col("b")).select(u.alias("u"), v.alias("v")).distinct(), name)
-    before = _checksum(current)
+    before = (n, None)
     while before[0]:
+        parts = max(8, before[0] // _PART_EDGES)
         both = current.union(current.select("v", "u"))
+        # A node with very many neighbours is reduced in part where its edges are.
         least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = (
-            both.filter(F.col("v") > F.col("u")).join(least, "u")
-            .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        )
+        large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(
+            F.col("v").alias("u"), F.col("m").alias("v"))
+        # Its neighbours now hang below few nodes each, which meet here.
+        large = large.repartition("u").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(
-            F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
-                              F.struct("u", F.col("m").alias("v")))).alias("e"))
-        current, _ = stage(small.select("e.u", "e.v").filter("u > v").distinct(), name)
+        hung = large.join(least, "u").select(F.explode(F.array(
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
+        current, _ = stage(hung.select("e.u", "e.v").filter("u > v").coalesce(parts), name)
         after = _checksum(current)
         if after == before:
             break
         before = after
-    return current.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
-        current.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
+    return current.distinct().select(F.col("u").alias("node"), F.col("v").alias("root"))

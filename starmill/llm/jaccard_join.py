@@ -33,7 +33,7 @@ from starmill.llm.words import NOT_SPACE, mix, shingles, words
 from starmill.sources.stage import stage
 
 # Sets and shingles that are compared in one task at once.
-BLOCK_SETS = 2048
+BLOCK_SETS = 4096
 BLOCK_SHINGLES = 1 << 20
 # Hashes of parts that a task remembers, to join equal ones before the shuffle.
 REMEMBERED = 500_000
@@ -234,7 +234,8 @@ def _id_filter(ids: DataFrame) -> bytes:
 
 def _block(nodes: np.ndarray, values: np.ndarray, offsets: np.ndarray, asked: np.ndarray,
            rule: Rule) -> tuple[list[int], list[int]]:
-    """Links between the sets of a block that keep its components, each with an asked set."""
+    """Links between the sets of a block that have its components, each with an asked set: of
+    every component one from its smallest node to each other."""
     n, sizes = len(nodes), np.diff(offsets)
     owner = np.repeat(np.arange(n), sizes)
     parity = None
@@ -249,7 +250,6 @@ def _block(nodes: np.ndarray, values: np.ndarray, offsets: np.ndarray, asked: np
     ends = np.searchsorted(owner, np.arange(n + 1))
     row = np.zeros(len(count), bool)
     label = np.arange(n)
-    left, right = [], []
     for i in np.flatnonzero(asked):
         others = label != label[i]
         others[:i] &= ~asked[:i]  # compared in their turn
@@ -270,12 +270,12 @@ def _block(nodes: np.ndarray, values: np.ndarray, offsets: np.ndarray, asked: np
             overlap = running[ends[at + 1]] - running[ends[at]]
         row[column[ends[i]:ends[i + 1]]] = False
         at = at[overlap >= least[at]]
-        for j in at:
-            if label[j] != label[i]:
-                left.append(int(nodes[i]))
-                right.append(int(nodes[j]))
-                label[label == label[j]] = label[i]
-    return left, right
+        for other in np.unique(label[at]):
+            label[label == other] = label[i]
+    order = np.lexsort((nodes, label))
+    first = np.concatenate([[True], label[order][1:] != label[order][:-1]])
+    root = nodes[order][np.flatnonzero(first)[np.cumsum(first) - 1]]
+    return root[~first].tolist(), nodes[order][~first].tolist()
 
 
 def _compare(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -379,9 +379,12 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
 
     # Blocks: sets that share a part, directly or over others.
     meetings = map_arrow(named.select("text"), lambda b: _meet(b, rule), "part long, a long, b long")
-    by_part = meetings.repartition(F.coalesce("part", F.xxhash64("a", "b"))).sortWithinPartitions("part")
+    by_part = meetings.repartition(F.coalesce("part", F.xxhash64("a", "b"))).sortWithinPartitions("part", "a")
     meetings = map_arrow(by_part, _first_of_part, "a long, b long").distinct()
-    clusters = components(meetings, "clusters").withColumnRenamed("root", "cluster")
+    roots, _ = stage(components(meetings, "meetings"), "roots")
+    # A root stands for itself too.
+    clusters = roots.union(roots.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed(
+        "root", "cluster")
     members = (
         linkable.groupBy("node", "check").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
         .join(clusters, "node")
@@ -401,7 +404,11 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
     # Rows with one id but several texts are one document.
     same_id = linkable.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).filter("a <> b")
     twice = linkable.join(same_id.select("doc_id", "a"), "doc_id").select("a", F.col("node").alias("b"))
-    roots = components(links.union(twice), "components")
+    twice, n_twice = stage(twice, "same-id")
+    if cut or n_twice:
+        roots = components(links.union(twice), "components")
+    else:  # each link is from the root of a block's component
+        roots = links.select(F.col("b").alias("node"), F.col("a").alias("root"))
     classes = linkable.groupBy("node").agg(F.min("doc_id").alias("first"))
     classes = classes.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     smallest = classes.groupBy("root").agg(F.min("first").alias("component"))
