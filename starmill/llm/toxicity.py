@@ -93,7 +93,7 @@ class Trie:
 
     def within(self, word: str) -> tuple[str, int] | None:
         """The nearest term, and how many edits away; of several, the first by name."""
-        most = allowed_edits(len(word) + 1)
+        most = allowed_edits(len(word) + 2)
         automaton, best = Automaton(word, most), None
         stack = [(self.root, automaton.start())]
         while stack:
