@@ -26,6 +26,7 @@ WINDOW = 7
 LENGTH = 64
 # A chunk has at least four bytes on average.
 FIRST_LEVEL = 2
+LAST_LEVEL = 30
 
 _ALPHABET = np.frombuffer(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+-", np.uint8)
 _WEIGHTS = [np.uint32(pow(0x01000193, WINDOW - k, 1 << 32)) for k in range(WINDOW)]
@@ -67,7 +68,7 @@ def fingerprint(data: bytes) -> str:
     while True:
         keep = (low & np.uint32((1 << (level + 1)) - 1)) == 0
         coarse = ends[keep]
-        if len(ends) < LENGTH or len(coarse) < LENGTH // 8:
+        if len(ends) < LENGTH or len(coarse) < LENGTH // 8 or level == LAST_LEVEL:
             return f"{level}:{_signature(rolled, ends)}:{_signature(rolled, coarse)}"
         ends, low, level = coarse, low[keep], level + 1
 

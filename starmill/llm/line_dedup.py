@@ -56,7 +56,7 @@ class CuckooFilter:
             n *= 2
 
     def _places(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        last = np.uint64(len(self.buckets) - 1)
+        last, hashes = np.uint64(len(self.buckets) - 1), mix(hashes)
         tag = np.maximum((hashes >> np.uint64(48)).astype(np.uint16), np.uint16(1))
         first = (hashes & last).astype(np.int64)
         return tag, first, self._other(first, tag)
