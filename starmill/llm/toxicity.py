@@ -15,6 +15,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -236,24 +237,59 @@ def evidence(model: ToxicityModel, matcher: Matcher, text: str) -> tuple[float,
     return sum(best.values()), len(best)
 
 
-def _candidates(batches: Iterator[pa.RecordBatch], wanted: frozenset[str] | None) -> Iterator[pa.RecordBatch]:
-    """Documents per word and stem (with a star), of all words or of the wanted ones, and the
-    number of all words."""
+def _listed(text: str) -> list[str]:
+    return text.lower().encode().translate(_TABLE).decode().split(" ")
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, around, n): every word with a hash of its neighbours; n is 1 at its first place
+    in a document."""
     for batch in slices(batches, "text"):
-        counts: Counter[str] = Counter()
+        found: Counter[tuple[str, int]] = Counter()
         for text in filled(batch.column("text")).to_pylist():
-            listed = text.lower().encode().translate(_TABLE).split()
-            counts[_ALL] += len(listed)
-            own = {w.decode() for w in set(listed)}
-            own |= {w[:n] + "*" for w in own for n in STEM_LENGTHS if len(w) > n}
-            counts.update(own if wanted is None else own & wanted)
+            listed = ["", *filter(None, _listed(text)), ""]
+            seen = set()
+            for before, word, after in zip(listed, listed[1:], listed[2:]):
+                found[word, crc32(f"{before} {after}".encode())] += word not in seen
+                seen.add(word)
         yield pa.RecordBatch.from_arrays(
-            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+            [pa.array([w for w, _ in found], pa.string()), pa.array([c for _, c in found], pa.int64()),
+             pa.array(list(found.values()), pa.int64())], names=["term", "around", "n"])
+
+
+def _toxic_terms(train: DataFrame, least: int) -> dict[str, int]:
+    """Documents per word, and summed over forms per stem (with a star) that has enough of them;
+    of copies of a text one counts, as a word there has the same neighbours every time."""
+    found = map_arrow(train.select("text"), _places, "term string, around long, n long")
+    words = found.groupBy("term", "around").agg(F.sum("n").alias("n")).groupBy("term").agg(
+        F.least(F.sum("n"), F.count(F.lit(1))).alias("n"))
+    words, _ = stage(words, "toxic-words")
+    cuts = F.array(*[F.substring("term", 1, k) for k in STEM_LENGTHS])
+    stems = words.select(F.explode(F.filter(cuts, lambda c: F.length(c) < F.length("term"))).alias("stem"), "n")
+    stems = stems.groupBy("stem").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("forms"))
+    long = F.length("stem").isin(*STEM_LENGTHS) & (F.col("forms") >= STEM_FORMS)
+    stems = stems.filter(long).select(F.concat("stem", F.lit("*")).alias("term"), "n")
+    return {r["term"]: r["n"] for r in words.union(stems).filter(F.col("n") >= least).collect()}
+
 
+def _clean_terms(train: DataFrame, wanted: frozenset[str]) -> dict[str, int]:
+    """Documents per wanted word, summed over forms for a stem, and the number of all words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "text"):
+            counts: Counter[str] = Counter()
+            for text in filled(batch.column("text")).to_pylist():
+                listed = list(filter(None, _listed(text)))
+                counts[_ALL] += len(listed)
+                own = set(listed)
+                counts.update(own & wanted)
+                for word in own:
+                    counts.update({word[:n] + "*" for n in STEM_LENGTHS if len(word) > n} & wanted)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
-def _count_terms(docs: DataFrame, wanted: frozenset[str] | None) -> DataFrame:
-    found = map_arrow(docs.select("text"), lambda b: _candidates(b, wanted), "term string, n long")
-    return found.groupBy("term").agg(F.sum("n").alias("n"))
+    found = map_arrow(train.select("text"), run, "term string, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return {r["term"]: r["n"] for r in found.collect()}
 
 
 def training_labels(labels: DataFrame, usable, limit: int = MAX_TRAIN) -> DataFrame:
@@ -302,22 +338,20 @@ def fit(docs: DataFrame, labels: DataFrame, usable, limit: int = MAX_TRAIN) -> T
         return ToxicityModel(curve=(math.log(share / (1 - share)), 0.0, 0.0))
 
     least = max(2, math.ceil(MIN_SHARE * n_toxic))
-    toxic = {r["term"]: r["n"] for r in _count_terms(train.filter("toxic = 1"), None).filter(F.col("n") >= least).collect()}
-    wanted = frozenset(toxic)
-    toxic.pop(_ALL, None)
-    clean = {r["term"]: r["n"] for r in _count_terms(train.filter("toxic = 0"), wanted).collect()}
+    toxic = _toxic_terms(train.filter("toxic = 1"), least)
+    clean = _clean_terms(train.filter("toxic = 0"), frozenset(toxic))
     clean_words = max(1, clean.get(_ALL, 0))
     odds = {t: _log_odds(k, clean.get(t, 0), n_toxic, n_clean) for t, k in toxic.items()}
     base, bar = n_toxic / n, math.log(max(1, len(toxic)) / CHANCE)
     strong = {t: (clean.get(t, 0) + 0.5) / clean_words for t, w in odds.items()
               if w >= math.log(MIN_RATIO) and len(t) >= 3 and _surprise(toxic[t], clean.get(t, 0), base) >= bar}
-    forms = Counter(t[:n] + "*" for t in strong if not t.endswith("*") for n in STEM_LENGTHS if len(t) > n)
     stems = {}
-    for t in sorted((t for t in strong if t.endswith("*") and forms[t] >= STEM_FORMS), key=len):
+    for t in sorted((t for t in strong if t.endswith("*")), key=len):
         if not any(t[:n] in stems for n in STEM_LENGTHS if n < len(t) - 1):
             stems[t[:-1]] = strong[t]
+    # A word stays beside its stem if clean texts have it much less often.
     terms = {t: w for t, w in strong.items()
-             if not t.endswith("*") and not any(t[:n] in stems for n in STEM_LENGTHS)}
+             if not t.endswith("*") and all(2 * w < stems[t[:n]] for n in STEM_LENGTHS if t[:n] in stems)}
 
     draft = ToxicityModel(terms, stems)
     near = _near_words(train, draft)
