@@ -102,11 +102,12 @@ def order_lines(spark: SparkSession, folder: str) -> DataFrame:
             F.col("n_nationkey").alias(f"{side}_nationkey"), F.col("n_name").alias(f"{side}_nation")
         )
 
-    orders = (
-        table("orders", "l_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-        .join(table("customer", "o_custkey", "c_name", "c_mktsegment", "c_nationkey"), "o_custkey")
-        .join(nation("c"), "c_nationkey")
-        .drop("c_nationkey")
+    customers = table("customer", "o_custkey", "c_name", "c_mktsegment", "c_nationkey").join(
+        nation("c"), "c_nationkey"
+    ).drop("c_nationkey")
+    orders = join_all(
+        table("orders", "l_orderkey", "o_custkey", "o_orderdate", "o_orderpriority"),
+        {"customer": Lookup(customers, ("o_custkey",))}, row_id="l_orderkey", keep_keys=True,
     )
     # The number of a line, fixed by the files, tells copies apart.
     lines = spark.read.parquet(f"{folder}/lineitem.parquet").select(
