@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmill.schemas import conform, table_schema
+from starmill.schemas import MART_ORDER, conform, table_schema
 from starmill.sources.stage import observed
 
 # URL forms of the two databases.
@@ -28,6 +28,10 @@ class JdbcDatabase:
     # Connections open at a time, when reading and when writing.
     connections: int = 16
     write_options: Mapping[str, object] = field(default_factory=dict)
+    # Whether an overwrite keeps the definition of a table.
+    truncates: bool = True
+    # Further options per table, for one that is created.
+    create_options: Mapping[str, str] = field(default_factory=dict)
 
     def _options(self) -> dict[str, object]:
         return {"url": self.url, "driver": self.driver, "user": self.user,
@@ -49,7 +53,8 @@ class JdbcDatabase:
 
     def table_options(self, table: str) -> dict[str, object]:
         return {**self._options(), "dbtable": table, "batchsize": 10_000,
-                "numPartitions": self.connections, **self.write_options}
+                "numPartitions": self.connections, **self.write_options,
+                **({"createTableOptions": self.create_options[table]} if table in self.create_options else {})}
 
     def read(self, spark: SparkSession, table: str) -> DataFrame:
         """A whole table, read in parallel over ranges of its integer key."""
@@ -68,8 +73,11 @@ class JdbcDatabase:
         """Write tables one by one, in the order given: dimensions before the fact.
 
         Overwriting empties a table and keeps its definition. Where the database
-        cascades, that also empties the tables that refer to it, hence the order.
+        cascades, that also empties the tables that refer to it, hence the order. Where an
+        overwrite would drop the table instead, it is refused.
         """
+        if mode == "overwrite" and not self.truncates:
+            raise ValueError("an overwrite would drop tables and their engines here: empty them and append")
         counts = {}
         for table, df in tables.items():
             rows, counted = observed(conform(df, table_schema(table)))
@@ -94,8 +102,31 @@ def clickhouse(
     host: str, port: int, database: str, user: str, password: str,
     driver: str = "com.clickhouse.jdbc.Driver",
 ) -> JdbcDatabase:
-    """A database of marts. A load replaces them unless it asks to append."""
+    """A database of marts, which loads append to.
+
+    Spark does not know that it can truncate here and would drop the table on overwrite.
+    """
     return JdbcDatabase(
         CLICKHOUSE_URL.format(host=host, port=port, database=database), driver, user, password,
-        write_options={"truncate": True},
+        truncates=False, create_options={table: merge_tree(table) for table in MART_ORDER},
     )
+
+
+def merge_tree(mart: str) -> str:
+    keys = MART_ORDER[mart]
+    return f"ENGINE = MergeTree() ORDER BY {keys[0] if len(keys) == 1 else '(' + ', '.join(keys) + ')'}"
+
+
+# Types of mart columns.
+_CLICKHOUSE_TYPES = {"bigint": "Int64", "int": "Int32", "string": "String", "double": "Float64", "date": "Date"}
+
+
+def clickhouse_definition(mart: str, database: str) -> str:
+    """The statement that creates an empty mart with its engine and sort key."""
+    def column(f) -> str:
+        kind = f.dataType.simpleString()
+        named = _CLICKHOUSE_TYPES.get(kind) or kind.replace("decimal", "Decimal")
+        return f"{f.name} {named}" if f.name in MART_ORDER[mart] else f"{f.name} Nullable({named})"
+
+    columns = ", ".join(column(f) for f in table_schema(mart))
+    return f"CREATE TABLE IF NOT EXISTS {database}.{mart} ({columns}) {merge_tree(mart)}"
