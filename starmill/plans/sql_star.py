@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starmill.functions.dates import SALE_DATE_FORMAT
-from starmill.operators.dense_key import with_dense_key
+from starmill.operators.dense_key import with_dense_key_along
 from starmill.operators.lookup import Lookup, prepare
 from starmill.plans.star import FACT_ORDER, LOOKUP_ORDER, fact_inputs
 from starmill.schemas import (
@@ -46,24 +46,27 @@ def raw_dimension_sql(dim: Dimension) -> str:
 
 
 def raw_dimension(staging: DataFrame, dim: Dimension) -> DataFrame:
-    """A dimension with one row per staging row, numbered in staging order."""
+    """A dimension with one row per staging row, numbered in staging order; rows that share
+    an id are numbered by their columns."""
     rows = staging.sparkSession.sql(raw_dimension_sql(dim), staging=staging)
     whole = dim not in (DATE, PET_CATEGORY)
     first = _gap_free_start(staging) if whole else None
     if first is None:
-        keyed = with_dense_key(rows, dim.key, ["id"], f"raw_{dim.table}")
+        order = ["id", *(c for c in rows.columns if c != "id")]
+        keyed = with_dense_key_along(rows, dim.key, order, f"raw_{dim.table}", staging.select("id"))
     else:
         keyed = rows.withColumn(dim.key, F.col("id") - F.lit(first - 1))
     return conform(keyed, dimension_schema(dim))
 
 
 def _gap_free_start(staging: DataFrame) -> int | None:
-    """The first id, if the ids have no gap. Ids are unique, so counting them is
-    enough, and the rank of a row is then its id less a constant: no sort."""
+    """The first id, if ids have no gap and none is missing or repeated. The rank of a row
+    is then its id less a constant: no sort."""
     ids = staging.agg(
-        F.min("id").alias("low"), F.max("id").alias("high"), F.count("id").alias("n")
+        F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"),
+        F.count_distinct("id").alias("different"),
     ).first()
-    if ids["n"] and ids["high"] - ids["low"] + 1 == ids["n"]:
+    if ids["n"] and ids["high"] - ids["low"] + 1 == ids["n"] == ids["different"]:
         return ids["low"]
     return None
 
@@ -82,6 +85,5 @@ def build_fact_sql(staging: DataFrame, dims: Mapping[str, DataFrame]) -> DataFra
     sales, lookups = prepare(*fact_inputs(staging, dims), row_id="id")
     tables = {table: lookup.rows for table, lookup in lookups.items()}
     rows = staging.sparkSession.sql(fact_sql(lookups), sales=sales, **tables)
-    return conform(
-        with_dense_key(rows, "sale_id", FACT_ORDER, f"{FACT_TABLE}_sql"), fact_schema()
-    )
+    keyed = with_dense_key_along(rows, "sale_id", FACT_ORDER, f"{FACT_TABLE}_sql", staging.select("id"))
+    return conform(keyed, fact_schema())

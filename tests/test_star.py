@@ -135,6 +135,11 @@ def test_raw_dimension_without_gaps_is_numbered_without_a_sort(spark):
     assert "Sort" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_raw_dimension_of_repeated_ids_has_distinct_keys(spark):
+    rows = staging(spark, sale(1, customer_first_name="b"), sale(1, customer_first_name="a"), sale(3))
+    assert tuples(raw_dimension(rows, CUSTOMER), "customer_id", "first_name") == [(1, "a"), (2, "b"), (3, "x")]
+
+
 def test_nothing_staged_gives_an_empty_star(spark):
     tables = star(staging(spark))
     assert {name: df.count() for name, df in tables.items()} == dict.fromkeys(tables, 0)
