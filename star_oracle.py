@@ -6,9 +6,23 @@ shared. Averages are taken over integer cents, rounded half-up.
 
 from __future__ import annotations
 
-from starmill.schemas import text_limits
 from starmill.sources.tpch import LINE_ORDER, STAGING_EXPRESSIONS
 
+# Length limits of the staging text columns.
+_TEXT_LIMITS = {
+    "customer_first_name": 100, "customer_last_name": 100, "customer_email": 100,
+    "customer_country": 100, "customer_postal_code": 20, "customer_pet_type": 50,
+    "customer_pet_name": 100, "customer_pet_breed": 100, "seller_first_name": 100,
+    "seller_last_name": 100, "seller_email": 100, "seller_country": 100, "seller_postal_code":
+    20, "product_name": 100, "product_category": 100, "sale_date": 20, "store_name": 100,
+    "store_location": 100, "store_city": 100, "store_state": 100, "store_country": 100,
+    "store_phone": 50, "store_email": 100, "pet_category": 100, "product_color": 50,
+    "product_size": 50, "product_brand": 100, "product_material": 100, "product_release_date":
+    20, "product_expiry_date": 20, "supplier_name": 100, "supplier_contact": 100,
+    "supplier_email": 100, "supplier_phone": 50, "supplier_address": 100, "supplier_city": 100,
+    "supplier_country": 100,
+}
+
 _LINES = """
 SELECT l.*, o.o_custkey, o.o_orderdate, o.o_orderpriority,
        c.c_name, c.c_mktsegment, cn.n_name AS c_nation,
@@ -261,7 +275,7 @@ def _varchar_limits() -> str:
         f"SELECT '{name}' AS column_name, {limit} AS max_length, "
         f"CAST(max(length({name})) AS INT) AS longest, "
         f"count(*) FILTER (length({name}) > {limit}) AS too_long_rows FROM mock_data"
-        for name, limit in text_limits().items()
+        for name, limit in _TEXT_LIMITS.items()
     )
 
 

@@ -9,7 +9,8 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -24,19 +25,56 @@ def _local_folder() -> str:
 def stage_folder(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local session may go without one; it gets a temporary folder.
+    Only a session on one machine may go without one, and gets a temporary folder, or name
+    one of its own file system. Elsewhere such a folder is refused, as each executor would
+    write to its own disk, unless ``SHARED_MOUNT`` says that all machines mount it.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    one_machine = re.fullmatch(r"local(-cluster)?(\[.*\])?", spark.conf.get("spark.master", ""))
     if folder:
+        mounted = spark.conf.get(SHARED_MOUNT, "false").lower() == "true"
+        if not one_machine and not mounted and _scheme(spark, folder) == "file":
+            raise RuntimeError(f"{folder} is on the disk of each machine; set spark.checkpoint.dir to a folder "
+                               f"that all executors share, or {SHARED_MOUNT} to true if they do")
         return folder.rstrip("/")
-    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
+    if not one_machine:
         raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return _local_folder()
 
 
+# Set to true if a folder of the local file system is a mount that all machines share.
+SHARED_MOUNT = "spark.starmill.sharedMount"
+
+
+def _scheme(spark: SparkSession, folder: str) -> str:
+    found = re.match(r"([a-zA-Z][a-zA-Z0-9+.-]*):", folder)
+    default = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS") or "file:///"
+    return found[1] if found else default.partition(":")[0]
+
+
+_SCOPE = "starmill.stage"
+
+
+@contextmanager
+def stage_scope(spark: SparkSession, name: str) -> Iterator[str]:
+    """Put what is staged within into one folder, which can be deleted with the result."""
+    before = spark.sparkContext.getLocalProperty(_SCOPE)
+    scope = f"{name}-{uuid.uuid4().hex}"
+    spark.sparkContext.setLocalProperty(_SCOPE, scope)
+    try:
+        yield f"{_app_folder(spark)}/{scope}"
+    finally:
+        spark.sparkContext.setLocalProperty(_SCOPE, before)
+
+
+def _app_folder(spark: SparkSession) -> str:
+    return f"{stage_folder(spark)}/starmill/{spark.conf.get('spark.app.id', 'app')}"
+
+
 def new_stage_path(spark: SparkSession, name: str) -> str:
-    app = spark.conf.get("spark.app.id", "app")
-    return f"{stage_folder(spark)}/starmill/{app}/{name}-{uuid.uuid4().hex}"
+    scope = spark.sparkContext.getLocalProperty(_SCOPE)
+    inside = f"{scope}/" if scope else ""
+    return f"{_app_folder(spark)}/{inside}{name}-{uuid.uuid4().hex}"
 
 
 def observed(df: DataFrame) -> tuple[DataFrame, Callable[[], int]]:
@@ -60,3 +98,11 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, int]:
     path = new_stage_path(spark, name)
     rows = write_counted(df, path)
     return spark.read.schema(df.schema).parquet(path), rows
+
+
+def write_once(df: DataFrame, name: str) -> DataFrame:
+    """``stage`` without counting."""
+    spark = df.sparkSession
+    path = new_stage_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -1,4 +1,5 @@
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,8 +9,8 @@ from starmill.plans.jobs import load_marts, load_staging, load_star
 from starmill.plans.marts import MARTS, build_mart
 from starmill.schemas import MART_ORDER, STAGING_TABLE, staging_schema
 from starmill.sources.csv_files import CsvFolder, read_csv, write_csv
-from starmill.sources.jdbc import clickhouse, postgres
-from starmill.sources.stage import stage_folder
+from starmill.sources.jdbc import clickhouse, clickhouse_definition, postgres
+from starmill.sources.stage import SHARED_MOUNT, stage_folder
 from starmill.sources.zone import ParquetZone
 
 ITEM = (
@@ -167,5 +168,92 @@ def test_reads_are_split_over_connections():
     assert "cascadeTruncate" not in db.table_options("t")
 
 
+def test_clickhouse_keeps_engine_and_sort_key(spark):
+    db = clickhouse("host", 8123, "reports", "me", "secret")
+    for mart, keys in MART_ORDER.items():
+        options = db.table_options(mart)
+        assert options["createTableOptions"].startswith("ENGINE = MergeTree() ORDER BY ")
+        assert all(k in options["createTableOptions"] for k in keys) and "truncate" not in options
+        assert clickhouse_definition(mart, "reports").endswith(options["createTableOptions"])
+    assert "ORDER BY (year, month)" in db.table_options("mart_sales_by_time")["createTableOptions"]
+    with pytest.raises(ValueError, match="append"):
+        db.write_tables({"mart_sales_by_time": None}, "overwrite")
+
+
+def test_what_spark_truncates(spark):
+    """An upgrade that changes these answers is noticed here."""
+    dialects = spark._jvm.org.apache.spark.sql.jdbc.JdbcDialects
+    answer = lambda db: dialects.get(db.url).isCascadingTruncateTable()
+    assert answer(postgres("h", 1, "d", "u", "p")).get() is False
+    assert answer(clickhouse("h", 1, "d", "u", "p")).isEmpty()
+
+
 def test_stage_folder_is_the_shared_one(spark):
     assert stage_folder(spark) == spark.conf.get("spark.checkpoint.dir").rstrip("/")
+
+
+def test_a_folder_of_each_machine_is_refused_on_a_cluster(spark):
+    class Conf:
+        def __init__(self, **values):
+            self.values = values
+
+        def get(self, name, default=None):
+            return self.values.get(name, default)
+
+    class Cluster:
+        sparkContext = spark.sparkContext
+
+        def __init__(self, folder, **more):
+            self.conf = Conf(**{"spark.master": "yarn", "spark.checkpoint.dir": folder, **more})
+
+    for folder in ("/tmp/somewhere", "file:///tmp/somewhere"):
+        with pytest.raises(RuntimeError, match="disk of each machine"):
+            stage_folder(Cluster(folder))
+        assert stage_folder(Cluster(folder, **{SHARED_MOUNT: "true"})) == folder
+    assert stage_folder(Cluster("hdfs://n/x/")) == "hdfs://n/x"
+    with pytest.raises(RuntimeError, match="set spark.checkpoint.dir"):
+        stage_folder(Cluster(None))
+
+
+def test_what_a_load_stages_is_in_one_folder(spark, tmp_path):
+    write_csv(staging(spark, sale(1), sale(2)), str(tmp_path / "in"))
+    done = load_star(spark, CsvFolder(str(tmp_path / "in")), ParquetZone(str(tmp_path / "star")))
+    staged = Path(done.staged)
+    assert staged.is_relative_to(stage_folder(spark))
+    assert len(list(staged.iterdir())) >= 8
+    assert spark.sparkContext.getLocalProperty("starmill.stage") is None
+
+
+def test_a_star_is_not_appended_to(spark, tmp_path):
+    source, zone = CsvFolder(str(tmp_path / "in")), ParquetZone(str(tmp_path / "star"))
+    write_csv(staging(spark, sale(1), sale(2)), str(tmp_path / "in"))
+    load_star(spark, source, zone)
+    with pytest.raises(ValueError, match="replaced as a whole"):
+        load_star(spark, source, zone, mode="append")
+    assert zone.read(spark, "fact_sales").count() == 2
+
+
+def test_repeated_ids_are_refused(spark, tmp_path):
+    write_csv(staging(spark, sale(1), sale(1), sale(3)), str(tmp_path / "in"))
+    with pytest.raises(ValueError, match="1 of 3 sales"):
+        load_star(spark, CsvFolder(str(tmp_path / "in")), ParquetZone(str(tmp_path / "star")))
+
+
+def test_one_of_two_loads_with_one_number_wins(spark, tmp_path, monkeypatch):
+    zone = ParquetZone(str(tmp_path))
+    zone.write_tables({STAGING_TABLE: staging(spark, sale(7), sale(8), sale(9))})
+    monkeypatch.setattr(ParquetZone, "_next_load", lambda self, spark: 2)
+    for n in (1, 2):
+        zone.write_tables({STAGING_TABLE: staging(spark, sale(n))})
+    assert len(tuples(zone.read(spark, STAGING_TABLE), "id")) == 1
+    zone.write_tables({STAGING_TABLE: staging(spark, sale(3))}, mode="append")
+    assert (3,) in tuples(zone.read(spark, STAGING_TABLE), "id")
+
+
+def test_marts_from_a_star_kept_as_csv(spark, tmp_path):
+    places = [CsvFolder(str(tmp_path / n)) for n in ("in", "star", "marts")]
+    write_csv(staging(spark, sale(1), sale(2)), places[0].path)
+    assert load_star(spark, places[0], places[1])["fact_sales"] == 2
+    counts = load_marts(spark, places[1], places[2])
+    assert set(counts) == set(MARTS)
+    assert places[2].read(spark, "mart_sales_by_time").count() == 1
