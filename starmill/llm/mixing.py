@@ -83,18 +83,19 @@ def rake(cells: DataFrame, powers=None, sweeps: int = SWEEPS) -> DataFrame:
     powers = powers or POWERS
     targets = {}
     for m in MARGINS:
-        own = cells.groupBy(f"_{m}").agg(F.pow(F.sum("tokens").cast("double"), F.lit(powers[m])).alias("p"))
-        whole = own.agg(F.sum("p").alias("s"))  # one row
-        targets[m], _ = stage(own.join(F.broadcast(whole)).select(f"_{m}", (F.col("p") / F.col("s")).alias("t")), "targets")
-    whole = cells.agg(F.sum("tokens").alias("all"))
-    rows = cells.join(F.broadcast(whole)).withColumn("w", F.col("tokens") / F.col("all"))
+        power = F.pow(F.sum("tokens").cast("double"), F.lit(powers[m])).alias("p")
+        own, _ = stage(cells.groupBy(f"_{m}").agg(power), "targets")
+        whole = own.agg(F.sum("p")).first()[0]
+        targets[m] = own.select(f"_{m}", (F.col("p") / F.lit(whole)).alias("t"))
+    whole = cells.agg(F.sum("tokens")).first()[0]
+    rows = cells.withColumn("w", F.col("tokens") / F.lit(whole))
     for _ in range(sweeps):
         for m in MARGINS:
             sums = rows.groupBy(f"_{m}").agg(F.sum("w").alias("now")).join(targets[m], f"_{m}")
             sums = sums.select(f"_{m}", (F.col("t") / F.col("now")).alias("up"))
             rows = rows.join(sums, f"_{m}").withColumn("w", F.col("w") * F.col("up")).drop("up")
         rows, _ = stage(rows, "raked")
-    return rows.select("_source", "_lang", "_topic", "tokens", (F.col("w") * F.col("all") / F.col("tokens")).alias("factor"))
+    return rows.select("_source", "_lang", "_topic", "tokens", (F.col("w") * F.lit(whole) / F.col("tokens")).alias("factor"))
 
 
 def _scale(factors: DataFrame, keep: float) -> float:
