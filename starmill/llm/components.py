@@ -34,12 +34,15 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     before = (n, None)
     while before[0]:
         parts = max(8, before[0] // _PART_EDGES)
-        both = current.union(current.select("v", "u"))
-        # A node with very many neighbours is reduced in part where its edges are.
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.filter(F.col("v") > F.col("u")).join(least, "u").select(
-            F.col("v").alias("u"), F.col("m").alias("v"))
-        # Its neighbours now hang below few nodes each, which meet here.
+        # Every node is hung below the smallest node that its smaller neighbour sees. A
+        # neighbour with very many nodes above it sees few or none below.
+        least = current.groupBy("u").agg(F.min("v").alias("m"))
+        # The key is computed, so both sides are exchanged and adaptive execution can cut
+        # the edges of such a neighbour.
+        least = least.select(F.coalesce("u", F.lit(0)).alias("below"), "m")
+        large = current.join(least, F.col("v") == F.col("below"), "left").select(
+            "u", F.coalesce("m", "v").alias("v"))
+        # Nodes now hang below few others each, which meet here.
         large = large.repartition("u").distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         hung = large.join(least, "u").select(F.explode(F.array(
