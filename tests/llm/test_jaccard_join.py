@@ -49,8 +49,7 @@ def family(rng, n, size=120, edits=4):
     return out
 
 
-@pytest.mark.parametrize("size, percent", [(3, 90), (5, 80), (1, 50)])
-@pytest.mark.parametrize("block", [4096, 7])
+@pytest.mark.parametrize("size, percent, block", [(3, 90, 4096), (3, 90, 7), (5, 80, 7), (1, 50, 4096)])
 def test_components_equal_brute_force(spark, monkeypatch, size, percent, block):
     monkeypatch.setattr(jj, "BLOCK_SETS", block)
     monkeypatch.setattr(jj, "_SMALL_BLOCK", 4)
