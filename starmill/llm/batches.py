@@ -9,7 +9,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from starmill.sources.stage import stage
+
+# Keys of at most this many rows, of 16 bytes or so each, are sent to all tasks, so that the
+# rows they are looked up for stay where they are. Beyond it both sides are shuffled.
+SENT_ROWS = 1_000_000
 # Bytes of text that a task holds as arrays at once; a longer text comes alone.
 SLICE_BYTES = 2 << 20
 
@@ -27,6 +33,23 @@ def map_arrow(df: DataFrame, function, schema: str, barrier: bool = False) -> Da
     return df.mapInArrow(function, schema, barrier=barrier)
 
 
+def sent(keys: DataFrame, rows: int) -> DataFrame:
+    """A table of narrow keys as a side of a join, broadcast if its counted rows are few."""
+    return F.broadcast(keys) if rows <= SENT_ROWS else keys
+
+
+def without(docs: DataFrame, bad: DataFrame) -> DataFrame:
+    """Documents whose (doc_id, text_hash) is not in ``bad``, with their own columns."""
+    bad, n = stage(bad.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct(), "rejected")
+    return docs.join(sent(bad, n), same_text(), "left_anti")
+
+
+def same_text():
+    """Whether a row of documents is meant by (_id, _hash)."""
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
+
+
 def filled(column: pa.Array) -> pa.Array:
     """Texts with null as the empty text."""
     column = column.cast(pa.large_string())

@@ -6,12 +6,12 @@ enough, and a block row by row:
 
 1. Equal sets are one row of the matrix, named by a hash of the set.
 2. Two sets within the bound differ in at most d shingles, where d follows from their
-   sizes. If shingles are dealt into d + 3 parts by hash, at least three parts are equal in
-   both. So every set sends a hash of each part, and sets with an equal part meet.
-   Components of such meetings are the blocks; no link runs between two of them.
-3. In a block, pairs whose sizes, or whose bitmaps of shingle parities, exclude a large
-   enough overlap are discarded. For the others a row of the product accumulates exact
-   overlaps. A set that is already in the component of a row is not compared again.
+   sizes. If shingles are dealt into more than d parts by hash, some are equal in both. So every set sends a hash of each part, and sets with an equal part meet. Where few
+   meet, pairs are discarded if their sizes, or bitmaps of shingle parities, exclude a large
+   enough overlap. Components of what is left are the blocks; no link runs between two.
+3. In a block, pairs are discarded by the same bounds. For the others a row of the product
+   accumulates exact overlaps. A set that is already in the component of a row is not
+   compared again.
 
 A block that is too large for a task is cut, see ``_links``.
 """
@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.batches import map_arrow, slices, utf8
+from starmill.llm.batches import map_arrow, sent, slices, utf8
 from starmill.llm.components import components
 from starmill.llm.words import NOT_SPACE, mix, shingles, words
 from starmill.sources.stage import stage
@@ -35,8 +35,15 @@ from starmill.sources.stage import stage
 # Sets and shingles that are compared in one task at once.
 BLOCK_SETS = 4096
 BLOCK_SHINGLES = 1 << 20
-# Hashes of parts that a task remembers, to join equal ones before the shuffle.
-REMEMBERED = 500_000
+# Of a part with at most so many sets, all pairs are looked at; a larger one is a block.
+SMALL_MEETING = 12
+
+# Sets that make a shingle common, how many such shingles are sent to tasks at most (the
+# most common ones), and the share of other shingles above which sets meet by those alone.
+COMMON_SETS = 24
+COMMON_LIMIT = 1 << 20
+_RARE_SHARE = 0.4
+_COUNTED = 2 << 20
 
 _PARITY_BITS = 1024
 _SMALL_BLOCK = 24
@@ -95,32 +102,129 @@ def _names(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return mix(_sums(mix(values ^ _C1), offsets) + n), mix(_sums(mix(values ^ _C2), offsets) ^ n)
 
 
+def _parities(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Per set, a bit for each of ``_PARITY_BITS`` classes of shingles: whether it has an odd
+    number of them. Two sets differ in at least as many shingles as in bits."""
+    n = len(offsets) - 1
+    owner = np.repeat(np.arange(n), np.diff(offsets))
+    at = owner * _PARITY_BITS + (values % np.uint64(_PARITY_BITS)).astype(np.int64)
+    return (np.bincount(at, minlength=n * _PARITY_BITS) & 1).astype(np.uint8).reshape(n, _PARITY_BITS)
+
+
 def _describe(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "text"):
         values, offsets = _unique_sets(batch, rule)
         node, check = _names(values, offsets)
+        bits = np.packbits(_parities(values, offsets), axis=1)
         yield pa.RecordBatch.from_arrays(
             [batch.column("doc_id"), pa.array(np.diff(offsets)), pa.array(node.view(np.int64)),
-             pa.array(check.view(np.int64))], names=["doc_id", "n_shingles", "node", "check"])
+             pa.array(check.view(np.int64)), pa.array([row.tobytes() for row in bits], pa.binary())],
+            names=["doc_id", "n_shingles", "node", "check", "bits"])
+
+
+@dataclass(frozen=True)
+class Common:
+    """Shingles that very many sets have, sorted, at most ``COMMON_LIMIT``."""
+
+    hashes: np.ndarray
+
+    def __post_init__(self):
+        bits = np.zeros(1 << 24, bool)
+        bits[(self.hashes >> np.uint64(40)).astype(np.int64)] = True
+        object.__setattr__(self, "_bits", bits)
 
+    def __getstate__(self):
+        return {"hashes": self.hashes}
 
-def _parts(values: np.ndarray, offsets: np.ndarray, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of each part of each set under each size class it may meet others in, and the
-    index of the set."""
+    def __setstate__(self, state):
+        object.__setattr__(self, "hashes", state["hashes"])
+        self.__post_init__()
+
+    def has(self, values: np.ndarray) -> np.ndarray:
+        found = self._bits[(values >> np.uint64(40)).astype(np.int64)]
+        at = np.flatnonzero(found)
+        place = np.searchsorted(self.hashes, values[at])
+        found[at] = self.hashes[np.minimum(place, len(self.hashes) - 1)] == values[at] if len(self.hashes) else False
+        return found
+
+
+def _repeated(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """(shingle, n): sets that have it among some millions of shingles, if three have."""
+    held, size = [], 0
+
+    def counted() -> pa.RecordBatch:
+        shingle, n = np.unique(np.concatenate(held), return_counts=True)
+        often = n >= 3
+        return pa.RecordBatch.from_arrays(
+            [pa.array(shingle[often].view(np.int64)), pa.array(n[often])], names=["shingle", "n"])
+
+    for batch in slices(batches, "text"):
+        held.append(_unique_sets(batch, rule)[0])
+        size += len(held[-1])
+        if size >= _COUNTED:
+            yield counted()
+            held, size = [], 0
+    if held:
+        yield counted()
+
+
+def common_shingles(docs: DataFrame, rule: Rule) -> Common:
+    """The most common shingles. They only steer which sets meet; links do not depend on it."""
+    found = map_arrow(docs.select("text"), lambda b: _repeated(b, rule), "shingle long, n long")
+    found = found.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_SETS)
+    grade = F.floor(4 * F.log2("n")).cast("int")
+    found, _ = stage(found.select("shingle", grade.alias("grade")), "common")
+    # The lowest grade down to which there are not too many.
+    least, total = 1 << 30, 0
+    for row in found.groupBy("grade").count().orderBy(F.desc("grade")).collect():
+        total += row["count"]
+        if total > COMMON_LIMIT:
+            break
+        least = row["grade"]
+    rows = found.filter(F.col("grade") >= least).select("shingle").toArrow()
+    return Common(np.sort(rows.column("shingle").to_numpy().view(np.uint64)))
+
+
+def _meeting_places(values: np.ndarray, offsets: np.ndarray, rule: Rule, common: Common
+                    ) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the parts that each set is found by, and the index of the set.
+
+    Sets meet by their less common shingles, so that a passage in very many documents
+    brings none of them together, unless few are left. Then they meet by all; as shares of two
+    sets that link are bounded by each other, both do.
+    """
     sizes = np.diff(offsets)
+    rare = ~common.has(values)
+    kept = np.concatenate([[0], np.cumsum(rare)])[offsets]
+    share = np.diff(kept) / np.maximum(sizes, 1)
+    t = rule.percent / 100
+    most, some = share >= _RARE_SHARE, share < _RARE_SHARE / t + 1 - t + 0.01
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    first = rare & most[own]
+    a = _parts(values[first], own[first], sizes, most, rule, 0)
+    second = some[own]
+    b = _parts(values[second], own[second], sizes, some, rule, 1)
+    return np.concatenate([a[0], b[0]]), np.concatenate([a[1], b[1]])
+
+
+def _parts(values: np.ndarray, own: np.ndarray, sizes: np.ndarray, taking: np.ndarray, rule: Rule,
+           kind_of: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of each part of the sets ``taking`` part, under each size class they may meet
+    others in, and the index of the set. ``values`` may be a part of the shingles; ``sizes``
+    are those of whole sets."""
     ends = rule.classes(int(sizes.max(initial=1)) * 100 // rule.percent + 1)
     lowest = np.searchsorted(ends, sizes, "right") - 1
     # The largest set that a set of this size can link to.
     highest = np.searchsorted(ends, sizes * 100 // rule.percent, "right") - 1
     spread = mix(values ^ _C3)
     place, content = spread >> np.uint64(32), mix(values + _C3)
-    own = np.repeat(np.arange(len(sizes)), sizes)
     found_hash, found_set = [], []
     for step in range(int((highest - lowest).max(initial=-1)) + 1):
         kind = lowest + step
         differ = np.array([rule.most_differences(int(e) - 1) for e in ends[1:]])[np.minimum(kind, len(ends) - 2)]
-        used = (sizes > 0) & (kind <= highest) & (differ > 0)
-        n_parts = np.where(used, differ + 3, 0)
+        used = taking & (sizes > 0) & (kind <= highest) & (differ > 0)
+        spare = 2 + (differ * 2 + 4) // 5
+        n_parts = np.where(used, differ + 1 + spare, 0)
         base = np.concatenate([[0], np.cumsum(n_parts)])
         if not base[-1]:
             continue
@@ -132,11 +236,12 @@ def _parts(values: np.ndarray, offsets: np.ndarray, rule: Rule) -> tuple[np.ndar
         filled = np.bincount(at, minlength=base[-1])
         of = np.repeat(np.arange(len(sizes)), n_parts)
         index = np.arange(base[-1]) - base[of]
-        # Empty parts are equal in both sets too. They are sent by sets that have three or
-        # more of them; in others one of the three equal parts is not empty.
+        # More parts than the spare ones are equal in two sets that link. Empty ones are equal
+        # too; they are sent by sets with more of them than that. In others, one of the equal
+        # parts is not empty.
         empty = np.bincount(of, weights=filled == 0, minlength=len(sizes))
-        send = (filled > 0) | (empty[of] >= 3)
-        label = mix((kind[of].astype(np.uint64) << np.uint64(32)) + index.astype(np.uint64))
+        send = (filled > 0) | (empty[of] > spare[of])
+        label = mix((kind[of] * 2 + kind_of).astype(np.uint64) << np.uint64(32) | index.astype(np.uint64))
         found_hash.append(mix(total + filled.astype(np.uint64) * _C1 ^ label)[send])
         found_set.append(of[send])
     if not found_hash:
@@ -149,53 +254,99 @@ def _rows(part, a, b) -> pa.RecordBatch:
         [pa.array(part, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["part", "a", "b"])
 
 
-def _meet(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """(part, a) for the first set with a part in this task, (a, b) for each further one, so
-    that of a part that very many sets have, few rows are shuffled."""
-    seen: dict[int, int] = {}
+def _meet(batches: Iterator[pa.RecordBatch], rule: Rule, common: Common) -> Iterator[pa.RecordBatch]:
+    """(part, a) for the first sets with a part in a slice, (a, b) from the first set to each
+    after ``SMALL_MEETING``, so that of a part that very many sets have, few rows move."""
     for batch in slices(batches, "text"):
         values, offsets = _unique_sets(batch, rule)
         nodes = _names(values, offsets)[0].view(np.int64)
-        part, index = _parts(values, offsets, rule)
-        if len(seen) > REMEMBERED:
-            seen = {}
-        parts, firsts, links = [], [], set()
-        for p, a in zip(part.view(np.int64).tolist(), nodes[index].tolist()):
-            b = seen.setdefault(p, a)
-            if b is a:
-                parts.append(p)
-                firsts.append(a)
-            elif b != a:
-                links.add((b, a))
-        yield _rows(parts, firsts, [None] * len(parts))
-        if links:
-            yield _rows([None] * len(links), *zip(*links))
-
-
-def _first_of_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by part: an edge from the first set of each part to every other."""
-    last_part = last_first = None
+        part, index = _meeting_places(values, offsets, rule, common)
+        if not len(part):
+            continue
+        part, a = part.view(np.int64), nodes[index]
+        order = np.lexsort((a, part))
+        part, a = part[order], a[order]
+        new = np.concatenate([[True], (part[1:] != part[:-1]) | (a[1:] != a[:-1])])
+        part, a = part[new], a[new]
+        starts = np.concatenate([[True], part[1:] != part[:-1]])
+        first = np.flatnonzero(starts)[np.cumsum(starts) - 1]
+        send = np.arange(len(part)) - first <= SMALL_MEETING
+        yield _rows(part[send], a[send], pa.nulls(int(send.sum()), pa.int64()))
+        if not send.all():
+            links = np.unique(np.stack([a[first[~send]], a[~send]]), axis=1)
+            yield _rows(pa.nulls(links.shape[1], pa.int64()), links[0], links[1])
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by part, then set: all pairs of a part with few sets, which are still to be
+    filtered; of one with more, pairs of its first set with each other, which stay."""
+    held_part, held = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    large = None  # the part that is known to be large, and its first set
+
+    def pairs(part: np.ndarray, a: np.ndarray) -> Iterator[pa.RecordBatch]:
+        if not len(part):
+            return
+        starts = np.concatenate([[True], part[1:] != part[:-1]])
+        begin = np.flatnonzero(starts)
+        run = np.cumsum(starts) - 1
+        length = np.diff(np.concatenate([begin, [len(part)]]))[run]
+        few = length <= SMALL_MEETING
+        for k in range(1, min(SMALL_MEETING, len(part))):
+            both = few[:-k] & (run[:-k] == run[k:])
+            if not both.any():
+                break
+            yield _edges(a[:-k][both], a[k:][both], True)
+        many = ~few & ~starts
+        yield _edges(a[begin[run[many]]], a[many], False)
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        known = batch.column("part").is_null().to_numpy(zero_copy_only=False)
+        linked = batch.column("part").is_null().to_numpy(zero_copy_only=False)
         a = batch.column("a").to_numpy()
-        b = batch.column("b").filter(pa.array(known)).to_numpy()
-        yield _edges(a[known], b)
-        part, a = batch.column("part").filter(pa.array(~known)).to_numpy(), a[~known]
+        yield _edges(a[linked], batch.column("b").filter(pa.array(linked)).to_numpy(), False)
+        part, a = batch.column("part").filter(pa.array(~linked)).to_numpy(), a[~linked]
         if not len(part):
             continue
-        starts = np.concatenate([[True], part[1:] != part[:-1]])
-        first = a[np.flatnonzero(starts)[np.cumsum(starts) - 1]]
-        if part[0] == last_part:
-            first[part == last_part] = last_first
-        last_part, last_first = part[-1], first[-1]
-        differ = first != a
-        yield _edges(first[differ], a[differ])
+        if large is not None:  # goes on from the last batch
+            own = part == large[0]
+            yield _edges(np.full(own.sum(), large[1]), a[own], False)
+            if own.all():
+                continue
+            part, a, large = part[~own], a[~own], None
+        part, a = np.concatenate([held_part, part]), np.concatenate([held, a])
+        new = np.concatenate([[True], (part[1:] != part[:-1]) | (a[1:] != a[:-1])])
+        part, a = part[new], a[new]
+        last = int(np.searchsorted(part, part[-1]))
+        yield from pairs(part[:last], a[:last])
+        held_part, held = part[last:], a[last:]
+        if len(held) > SMALL_MEETING:
+            large = (held_part[0], held[0])
+            yield _edges(np.full(len(held) - 1, held[0]), held[1:], False)
+            held_part, held = held_part[:0], held[:0]
+    yield from pairs(held_part, held)
+
+
+def _may_link(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """Pairs whose sizes and parities allow a large enough overlap."""
+    ones = np.array([bin(i).count("1") for i in range(256)], np.uint8)
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        x, y = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint8).reshape(-1, _PARITY_BITS // 8)
+                for c in ("bits_a", "bits_b"))
+        differ = ones[x ^ y].sum(axis=1, dtype=np.int64)
+        m, n = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+        least = rule.least_overlap(m, n)
+        keep = pa.array((least <= np.minimum(m, n)) & (differ <= m + n - 2 * least))
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
-def _edges(a, b) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+def _edges(a, b, open_: bool | None = None) -> pa.RecordBatch:
+    columns, names = [pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"]
+    if open_ is not None:
+        columns, names = [*columns, pa.array([open_] * len(a), pa.bool_())], [*names, "open"]
+    return pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _fetch(batches: Iterator[pa.RecordBatch], rule: Rule, wanted: bytes) -> Iterator[pa.RecordBatch]:
@@ -238,11 +389,7 @@ def _block(nodes: np.ndarray, values: np.ndarray, offsets: np.ndarray, asked: np
     every component one from its smallest node to each other."""
     n, sizes = len(nodes), np.diff(offsets)
     owner = np.repeat(np.arange(n), sizes)
-    parity = None
-    if n > _SMALL_BLOCK:
-        parity = np.bincount(owner * _PARITY_BITS + (values % np.uint64(_PARITY_BITS)).astype(np.int64),
-                             minlength=n * _PARITY_BITS).reshape(n, _PARITY_BITS)
-        parity = (1 - 2 * (parity & 1)).astype(np.float32)
+    parity = 1 - 2 * _parities(values, offsets).astype(np.float32) if n > _SMALL_BLOCK else None
     # Columns of the matrix; one with a single entry adds to no overlap.
     _, column, count = np.unique(values, return_inverse=True, return_counts=True)
     shared = count[column] > 1
@@ -373,14 +520,26 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
     rule = Rule(words_per_shingle, percent)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     described, _ = stage(
-        map_arrow(rows, lambda b: _describe(b, rule), "doc_id long, n_shingles long, node long, check long"), "sets")
+        map_arrow(rows, lambda b: _describe(b, rule),
+                  "doc_id long, n_shingles long, node long, check long, bits binary"), "sets")
     linkable = described.filter("doc_id is not null and n_shingles > 0")
     named = rows.filter("doc_id is not null")
 
     # Blocks: sets that share a part, directly or over others.
-    meetings = map_arrow(named.select("text"), lambda b: _meet(b, rule), "part long, a long, b long")
+    common = common_shingles(named, rule)
+    meetings = map_arrow(named.select("text"), lambda b: _meet(b, rule, common), "part long, a long, b long")
     by_part = meetings.repartition(F.coalesce("part", F.xxhash64("a", "b"))).sortWithinPartitions("part", "a")
-    meetings = map_arrow(by_part, _first_of_part, "a long, b long").distinct()
+    meetings = map_arrow(by_part, _together, "a long, b long, open boolean").filter("a <> b")
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    # A pair that meets in a large part stays, whatever its other parts.
+    meetings, _ = stage(meetings.select(*ends, "open").groupBy("a", "b").agg(F.min("open").alias("open")), "meetings")
+    shapes = linkable.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
+    pairs = meetings.filter("open").select("a", "b")
+    for end in ("a", "b"):
+        pairs = pairs.join(shapes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}"),
+                                         F.col("bits").alias(f"bits_{end}")), end)
+    meetings = meetings.filter("not open").select("a", "b").union(
+        map_arrow(pairs, lambda b: _may_link(b, rule), "a long, b long"))
     roots, _ = stage(components(meetings, "meetings"), "roots")
     # A root stands for itself too.
     clusters = roots.union(roots.select(F.col("root").alias("node"), "root").distinct()).withColumnRenamed(
@@ -426,8 +585,8 @@ def one_per_group(docs: DataFrame, words_per_shingle: int = 5, percent: int = 80
     words and rows with null id all stay.
     """
     found, _ = stage(near_duplicates(docs, words_per_shingle, percent), "near")
-    gone = found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct()
-    kept = docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    gone, n = stage(found.filter("component_id <> doc_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
+    kept = docs.join(sent(gone, n), F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
     again = found.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").count().filter("count > 1")
     again, n_again = stage(again.select(F.col("doc_id").alias("_again")), "repeated-ids")
     if not n_again:

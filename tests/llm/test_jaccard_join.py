@@ -1,6 +1,7 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from corpus import awkward, documents, empty, sentence
 from starmill.llm import jaccard_join as jj
@@ -49,11 +50,12 @@ def family(rng, n, size=120, edits=4):
     return out
 
 
-@pytest.mark.parametrize("size, percent, block", [(3, 90, 4096), (3, 90, 7), (5, 80, 7), (1, 50, 4096)])
-def test_components_equal_brute_force(spark, monkeypatch, size, percent, block):
+@pytest.mark.parametrize("size, percent, block, common", [
+    (3, 90, 4096, 24), (3, 90, 7, 3), (5, 80, 7, 24), (5, 80, 4096, 5), (1, 50, 4096, 3)])
+def test_components_equal_brute_force(spark, monkeypatch, size, percent, block, common):
     monkeypatch.setattr(jj, "BLOCK_SETS", block)
+    monkeypatch.setattr(jj, "COMMON_SETS", common)
     monkeypatch.setattr(jj, "_SMALL_BLOCK", 4)
-    monkeypatch.setattr(jj, "REMEMBERED", 500)
     rng = random.Random(size)
     texts = [t for n in (40, 12, 2, 3) for t in family(rng, n)] + family(rng, 20, 8, 1) + family(rng, 20, 12, 2)
     passage = sentence(rng, 60)
@@ -92,6 +94,28 @@ def test_no_link_is_lost_between_sets_at_the_bound(spark):
     assert found(jj.near_duplicates(documents(spark, texts), 1, 90)) == brute(rows, 1, 90)
 
 
+@pytest.mark.parametrize("percent", [50, 80, 90])
+def test_sets_that_link_meet(percent):
+    """Whatever shingles count as common, two sets at the bound share a meeting place."""
+    rng, rule = np.random.RandomState(percent), jj.Rule(3, percent)
+    for size in [*range(2, 40), 100, 400, 2000]:
+        for _ in range(6):
+            a = np.unique(rng.randint(1, 1 << 62, size).astype(np.uint64))
+            other = size - rng.randint(0, size // 3 + 1)
+            both = min(int(rule.least_overlap(len(a), other)), len(a), other)
+            if 100 * both < percent * (len(a) + other - both):
+                continue
+            fresh = rng.randint(1, 1 << 62, other - both).astype(np.uint64)
+            b = np.unique(np.concatenate([rng.permutation(a)[:both], fresh]))
+            pool = np.concatenate([a, b])
+            hot = jj.Common(np.unique(rng.permutation(pool)[:rng.randint(0, len(pool) + 1)]))
+            if np.array_equal(a, b):
+                continue
+            part, index = jj._meeting_places(
+                np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), rule, hot)
+            assert set(part[index == 0]) & set(part[index == 1]), (size, other, both)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(1000, 1100)]
