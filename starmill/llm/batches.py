@@ -15,9 +15,9 @@ from starmill.sources.stage import stage
 
 # Keys of at most this many rows, of 16 bytes or so each, are sent to all tasks, so that the
 # rows they are looked up for stay where they are. Beyond it both sides are shuffled.
-SENT_ROWS = 1_000_000
+SENT_ROWS = 200_000
 # Bytes of text that a task holds as arrays at once; a longer text comes alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 
 
 def ship(spark: SparkSession) -> None:
@@ -28,9 +28,17 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = ":".join([root, *filter(None, paths)])
 
 
-def map_arrow(df: DataFrame, function, schema: str, barrier: bool = False) -> DataFrame:
-    ship(df.sparkSession)
-    return df.mapInArrow(function, schema, barrier=barrier)
+# Rows of an Arrow batch, unless the session sets its own number: texts are long.
+BATCH_ROWS = 2000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    spark = df.sparkSession
+    ship(spark)
+    if spark.conf.get(_BATCH) == "10000":  # the default
+        spark.conf.set(_BATCH, str(BATCH_ROWS))
+    return df.mapInArrow(function, schema)
 
 
 def sent(keys: DataFrame, rows: int) -> DataFrame:

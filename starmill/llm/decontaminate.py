@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm.batches import filled, map_arrow, slices, utf8
+from starmill.llm.batches import filled, map_arrow, slices, utf8, without
 from starmill.llm.words import ALPHANUMERIC, LOWER, Words, combine, mix, words
 from starmill.sources.stage import stage
 
@@ -238,8 +238,4 @@ def contamination_digest(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def without_benchmark(docs: DataFrame, items: DataFrame, size: int = WINDOW_WORDS) -> DataFrame:
     """The documents that hold no window of a benchmark item, with their own columns."""
-    bad = contamination(docs, items, size).filter("contaminated").select(
-        F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_hash")).distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text) == F.col("_bad_hash"))
-    return docs.join(bad, same, "left_anti")
+    return without(docs, contamination(docs, items, size).filter("contaminated"))

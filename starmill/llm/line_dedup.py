@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm.batches import filled, map_arrow, slices
+from starmill.llm.batches import filled, map_arrow, same_text, sent, slices
 from starmill.llm.words import LOWER_BYTES, mix
 from starmill.sources.stage import new_stage_path, stage
 
@@ -302,16 +302,18 @@ def deduplicated(docs: DataFrame, min_chars: int = MIN_CHARS, min_docs: int = MI
         F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("kept").alias("_kept"))
     # Repeated rows have equal results.
     result = result.groupBy("_id", "_hash").agg(F.first("_kept").alias("_kept"))
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
-    joined = docs.join(result, same, "left")
+    result, n = stage(result, "line-changes")
+    keys = sent(result.select("_id", "_hash"), n)
+    same = same_text()
+    # Only documents that change move, if their keys can be sent to all others.
+    joined = docs.join(keys, same, "left_semi").join(result, same, "inner").drop("_id", "_hash")
+    rest = docs.join(keys, same, "left_anti")
     columns = {c: F.col(c) for c in docs.columns}
-    changed = F.col("_kept").isNotNull()
-    columns["text"] = F.coalesce("_kept", "text")
+    columns["text"] = F.col("_kept")
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
-        columns["n_chars"] = F.when(changed, F.length("_kept")).otherwise(F.col("n_chars")).cast(kind)
-    return joined.select(*[v.alias(c) for c, v in columns.items()])
+        columns["n_chars"] = F.length("_kept").cast(kind)
+    return rest.union(joined.select(*[v.alias(c) for c, v in columns.items()]))
 
 
 @dataclass(frozen=True)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.batches import filled, map_arrow, slices
+from starmill.llm.batches import filled, map_arrow, slices, without
 from starmill.sources.stage import stage
 
 THRESHOLD = 0.3
@@ -38,7 +38,7 @@ CHANCE = 0.1
 STEM_LENGTHS = (4, 5, 6, 7, 8)
 STEM_FORMS = 4
 WINDOW = 6
-REMEMBERED = 300_000
+REMEMBERED = 150_000
 
 _QUOTES = "\"'“”„«»‘’"
 _QUOTED = "\x00quoted"
@@ -502,8 +502,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents that score below ``THRESHOLD``, with their own columns."""
-    found, _ = stage(score(docs, fit(docs, labels, lambda i: ~held_out(i))).filter(F.col("score") >= THRESHOLD), "toxic")
-    bad = found.select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.xxhash64(text) == F.col("_hash"))
-    return docs.join(bad, same, "left_anti")
+    found = score(docs, fit(docs, labels, lambda i: ~held_out(i)))
+    return without(docs, found.filter(F.col("score") >= THRESHOLD))
