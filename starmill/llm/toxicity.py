@@ -15,14 +15,13 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.llm.batches import filled, map_arrow, slices, without
+from starmill.llm.batches import filled, map_arrow, sent, slices, without
 from starmill.sources.stage import stage
 
 THRESHOLD = 0.3
@@ -118,15 +117,16 @@ def _cut(term: str, pieces: int) -> list[tuple[int, str]]:
 
 class Matcher:
     """Finds the term of a word. Of k + 1 pieces of a term, k edits leave one whole: the first
-    one where it was, the last one at the end, a middle one at most k - 1 places off. Only
-    words with such a piece of a term of about their length reach the trie."""
+    one where it was, the last one at the end, a middle one at most k - 1 places off. Every
+    such piece has a trie of its terms, and a word runs over the tries of its pieces alone,
+    which hold all terms within the edits."""
 
     def __init__(self, terms, stems, harmless):
         self._terms, self._harmless = frozenset(terms), frozenset(harmless)
         self._stems = {n: frozenset(s for s in stems if len(s) == n) for n in {len(s) for s in stems}}
-        self._trie = Trie(terms)
-        # Per length of a word: spans (from, to) and the pieces that may stand there.
-        self._pieces: dict[int, dict[tuple[int, int], set[str]]] = {}
+        # Per length of a word: spans (from, to), the pieces that may stand there, and their
+        # terms, which become a trie when first met.
+        self._pieces: dict[int, dict[tuple[int, int], dict[str, list[str] | Trie]]] = {}
         for term in terms:
             k = allowed_edits(len(term))
             if not k:
@@ -134,11 +134,12 @@ class Matcher:
             (_, first), *middle, (_, last) = _cut(term, k + 1)
             for length in range(len(term) - k, len(term) + k + 1):
                 spans = self._pieces.setdefault(length, {})
-                spans.setdefault((0, len(first)), set()).add(first)
-                spans.setdefault((length - len(last), length), set()).add(last)
+                spans.setdefault((0, len(first)), {}).setdefault(first, []).append(term)
+                spans.setdefault((length - len(last), length), {}).setdefault(last, []).append(term)
                 for at, piece in middle:
                     for shift in (-1, 0, 1):
-                        spans.setdefault((at + shift, at + shift + len(piece)), set()).add(piece)
+                        at_span = spans.setdefault((at + shift, at + shift + len(piece)), {})
+                        at_span.setdefault(piece, []).append(term)
         self._known: dict[bytes, tuple[str, int] | None] = {}
 
     def _find(self, word: str) -> tuple[str, int] | None:
@@ -149,10 +150,17 @@ class Matcher:
                 return word[:n] + "*", 0
         if word in self._harmless:
             return None
-        spans = self._pieces.get(len(word), {})
-        if any(word[a:b] in pieces for (a, b), pieces in spans.items()):
-            return self._trie.within(word)
-        return None
+        best = None
+        for (a, b), pieces in self._pieces.get(len(word), {}).items():
+            own = pieces.get(word[a:b])
+            if own is None:
+                continue
+            if isinstance(own, list):
+                own = pieces[word[a:b]] = Trie(own)
+            found = own.within(word)
+            if found is not None and (best is None or found[::-1] < best[::-1]):
+                best = found
+        return best
 
     def __call__(self, word: bytes) -> tuple[str, int] | None:
         try:
@@ -241,29 +249,20 @@ def _listed(text: str) -> list[str]:
     return text.lower().encode().translate(_TABLE).decode().split(" ")
 
 
-def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(term, around, n): every word with a hash of its neighbours; n is 1 at its first place
-    in a document."""
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(term, n): documents per word."""
     for batch in slices(batches, "text"):
-        found: Counter[tuple[str, int]] = Counter()
+        counts: Counter[str] = Counter()
         for text in filled(batch.column("text")).to_pylist():
-            listed = ["", *filter(None, _listed(text)), ""]
-            seen = set()
-            for before, word, after in zip(listed, listed[1:], listed[2:]):
-                found[word, crc32(f"{before} {after}".encode())] += word not in seen
-                seen.add(word)
+            counts.update(set(filter(None, _listed(text))))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([w for w, _ in found], pa.string()), pa.array([c for _, c in found], pa.int64()),
-             pa.array(list(found.values()), pa.int64())], names=["term", "around", "n"])
+            [pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
 
 def _toxic_terms(train: DataFrame, least: int) -> dict[str, int]:
-    """Documents per word, and summed over forms per stem (with a star) that has enough of them;
-    of copies of a text one counts, as a word there has the same neighbours every time."""
-    found = map_arrow(train.select("text"), _places, "term string, around long, n long")
-    words = found.groupBy("term", "around").agg(F.sum("n").alias("n")).groupBy("term").agg(
-        F.least(F.sum("n"), F.count(F.lit(1))).alias("n"))
-    words, _ = stage(words, "toxic-words")
+    """Documents per word, and summed over forms per stem (with a star) that has enough of them."""
+    found = map_arrow(train.select("text"), _words, "term string, n long")
+    words, _ = stage(found.groupBy("term").agg(F.sum("n").alias("n")), "toxic-words")
     cuts = F.array(*[F.substring("term", 1, k) for k in STEM_LENGTHS])
     stems = words.select(F.explode(F.filter(cuts, lambda c: F.length(c) < F.length("term"))).alias("stem"), "n")
     stems = stems.groupBy("stem").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("forms"))
@@ -321,18 +320,27 @@ def _surprise(bad: int, good: int, base: float) -> float:
     return (bad + good) * part
 
 
+def _distinct_texts(train: DataFrame) -> tuple[DataFrame, int, int]:
+    """One row per text and label, and the numbers of toxic and of other ones, so that
+    copies count once on both sides. Only hashes move; texts stay where they are."""
+    named = train.withColumn("_row", F.monotonically_increasing_id())
+    named, _ = stage(named.withColumn("_text", F.xxhash64(F.coalesce("text", F.lit("")))), "toxicity-train")
+    kept, n = stage(named.groupBy("_text", "toxic").agg(F.min("_row").alias("_row")), "toxicity-texts")
+    n_toxic = kept.filter("toxic = 1").count()
+    return named.join(sent(kept.select("_row"), n), "_row", "left_semi").drop("_row", "_text"), n_toxic, n - n_toxic
+
+
 def fit(docs: DataFrame, labels: DataFrame, usable, limit: int = MAX_TRAIN) -> ToxicityModel:
     """Learn a model from the documents whose ids ``usable`` (a condition on a column) admits.
 
-    Without toxic or without other documents among them, the model knows no term and
+    Equal texts with one label count once. Without toxic or without other documents among them, the model knows no term and
     gives every text the share of toxic ones, 0.05 if there are none at all.
     """
     chosen = training_labels(labels, usable, limit)
     train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).join(
         F.broadcast(chosen), "doc_id")  # bounded by the limit
-    train, n = stage(train, "toxicity-train")
-    n_toxic = train.filter("toxic = 1").count()
-    n_clean = n - n_toxic
+    train, n_toxic, n_clean = _distinct_texts(train)
+    n = n_toxic + n_clean
     if not n_toxic or not n_clean:
         share = (n_toxic + 0.5) / (n + 1) if n else 0.05
         return ToxicityModel(curve=(math.log(share / (1 - share)), 0.0, 0.0))

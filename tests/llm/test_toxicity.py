@@ -88,3 +88,26 @@ def test_awkward_and_empty_tables(spark):
     assert kept.columns == docs.columns
     assert all(not any(t in r.text.split() for t in TERMS) for r in kept.collect())
     assert tox.without_toxic(table, labels).count() == table.count()
+
+
+def fitted(spark, toxic, clean):
+    labels = [(i, 1, int(i < len(toxic))) for i in range(len(toxic) + len(clean))]
+    return tox.fit(documents(spark, toxic + clean), spark.createDataFrame(labels, LABELS), lambda i: i.isNotNull())
+
+
+def test_a_word_of_a_stock_phrase_is_a_term(spark):
+    plain = [f"word{i % 37} word{i % 41} word{i % 43}" for i in range(500)]
+    model = fitted(spark, [f"{t} what a nincompoop indeed" for t in plain[:80]], plain[80:])
+    assert "nincompoop" in model.terms
+
+
+def test_copies_of_a_text_count_once(spark):
+    rng = random.Random(5)
+    plain = [f"word{i} word{i % 41} word{i % 43}" for i in range(400)]
+    varied = [" ".join([t, *rng.sample(TERMS, 3)]) for t in plain[:60]]
+    copies = ["blah copied over and over"] * 6000
+    alone, beside = fitted(spark, varied, plain[60:]), fitted(spark, varied + copies, plain[60:])
+    assert set(TERMS) <= set(alone.terms) and set(TERMS) <= set(beside.terms)
+    assert "copied" not in beside.terms
+    # Copies of a clean text do not change the weights of terms either.
+    assert fitted(spark, varied, plain[60:] + plain[60:61] * 3000).terms == alone.terms
