@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from starmill.llm.bpe import bpe_digest
 from starmill.llm.decontaminate import contamination_digest
 from starmill.llm.fingerprints import fingerprint_neighbours
 from starmill.llm.jaccard_join import near_duplicates
@@ -18,6 +19,7 @@ from starmill.llm.toxicity import toxicity
 from starmill.llm.warc import archive_roundtrip
 
 TOKENIZER = "byte_bpe_50k.json"
+WORD_TOKENIZER = "word_bpe_49k.json"
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -66,10 +68,16 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_digest(_table(spark, folder, "documents"))
 
 
+def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return bpe_digest(_table(spark, folder, "documents"), public_tokenizers.path(WORD_TOKENIZER))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_fingerprints, op2_decontamination, op3_toxicity, op4_personal_data, op5_token_counts, op6_lm_scoring, op7_warc, op8_jaccard_join, op9_mixing,
-        op10_line_dedup)
+        op10_line_dedup, op13_bpe)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
