@@ -14,6 +14,8 @@ from starmill.llm.line_dedup import dedup_digest
 from starmill.llm.lm_scoring import language_scores
 from starmill.llm.mixing import KEEP, MARGINS, POWERS, SALT, SWEEPS, TOPIC_BYTES, TOPICS, mixture
 from starmill.llm.personal_data import personal_data
+from starmill.llm.prefix_trie import GROUP, SHARED, trie_digest
+from starmill.llm.prefix_trie import GROUP, SHARED, trie_digest
 from starmill.llm.token_counts import token_counts
 from starmill.llm.toxicity import toxicity
 from starmill.llm.warc import archive_roundtrip
@@ -68,6 +70,10 @@ def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return dedup_digest(_table(spark, folder, "documents"))
 
 
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return trie_digest(_table(spark, folder, "conversations"))
+
+
 def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -77,7 +83,7 @@ def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_fingerprints, op2_decontamination, op3_toxicity, op4_personal_data, op5_token_counts, op6_lm_scoring, op7_warc, op8_jaccard_join, op9_mixing,
-        op10_line_dedup, op13_bpe)
+        op10_line_dedup, op11_prefix_trie, op13_bpe)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -230,5 +236,51 @@ SELECT doc_id, src AS source, lng AS lang, topic, tokens_of AS n_tokens, round(f
 FROM (SELECT * EXCLUDE (tokens), tokens AS tokens_of FROM rows) JOIN p USING (source, lang, topic)
 """
 
+# CRC-32, bit by bit, of the letters of a number.
+_CRC32 = """xor(4294967295, list_reduce(
+    list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda t: CAST(ascii(t) AS BIGINT)),
+    lambda crc, byte: list_reduce(
+        CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[]), lambda r, k: xor(r >> 1, 3988292384 * (r & 1)), xor(crc, byte)),
+    CAST(4294967295 AS BIGINT)))"""
+
+_OP11 = f"""
+WITH t AS (
+    SELECT CAST(conv_id AS BIGINT) AS conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t
+    FROM conversations WHERE conv_id IS NOT NULL
+),
+kinds AS (SELECT r, t, length(t) AS chars, row_number() OVER () AS k FROM (SELECT DISTINCT r, t FROM t)),
+seqs AS (
+    SELECT conv_id, list(k ORDER BY turn NULLS FIRST, md5(concat(strlen(r), ':', r, t))) AS w
+    FROM t JOIN kinds USING (r, t) GROUP BY conv_id
+),
+heads AS (SELECT *, {_CRC32} % {SHARED} AS h FROM seqs),
+rebuilt AS (
+    SELECT a.conv_id, list_concat(coalesce(b.w, [])[1:a.h], a.w[a.h + 1:]) AS w
+    FROM heads a LEFT JOIN seqs b ON b.conv_id = a.conv_id - a.conv_id % {GROUP}
+),
+members AS (
+    SELECT conv_id, d, d = len(w) AS at_end, w[1:d] AS p FROM (SELECT *, unnest(range(0, len(w) + 1)) AS d FROM rebuilt)
+),
+nodes AS (
+    SELECT p, min(conv_id) AS conv_id, any_value(d) AS depth, count(*) AS n_convs,
+           string_agg(CASE WHEN at_end THEN CAST(conv_id AS VARCHAR) END, ',' ORDER BY conv_id) AS ends
+    FROM members GROUP BY p
+),
+children AS (SELECT p[1:depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+valued AS (
+    SELECT p, depth, (n_convs - 1) * coalesce(chars, 0) AS saved, n_children IS NULL AS leaf
+    FROM nodes LEFT JOIN kinds ON k = p[depth] LEFT JOIN children USING (p)
+),
+below AS (
+    SELECT p[1:d] AS p, sum(saved) AS saved_tokens, count_if(leaf) AS n_leaves
+    FROM (SELECT *, unnest(range(0, depth + 1)) AS d FROM valued) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children,
+       CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+       sha256(coalesce(n.ends, '')) AS ends_sha256
+FROM nodes n JOIN below USING (p) LEFT JOIN children USING (p)
+LEFT JOIN nodes u ON n.depth > 0 AND u.p = n.p[1:n.depth - 1]
+"""
+
 SQL: dict[str, str] = {"op2_decontamination": _OP2, "op7_warc": _OP7, "op8_jaccard_join": _OP8,
-    "op9_mixing": _OP9, "op10_line_dedup": _OP10}
+    "op9_mixing": _OP9, "op10_line_dedup": _OP10, "op11_prefix_trie": _OP11}
