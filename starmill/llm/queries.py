@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from starmill.llm.bpe import bpe_digest
 from starmill.llm.decontaminate import contamination_digest
 from starmill.llm.fingerprints import fingerprint_neighbours
+from starmill.llm.hard_negatives import hard_negatives
 from starmill.llm.jaccard_join import near_duplicates
 from starmill.llm.line_dedup import dedup_digest
 from starmill.llm.lm_scoring import language_scores
@@ -74,6 +75,10 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return trie_digest(_table(spark, folder, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    return hard_negatives(_table(spark, folder, "embeddings"))
+
+
 def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
@@ -83,7 +88,8 @@ def op13_bpe(spark: SparkSession, folder: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_fingerprints, op2_decontamination, op3_toxicity, op4_personal_data, op5_token_counts, op6_lm_scoring, op7_warc, op8_jaccard_join, op9_mixing,
-        op10_line_dedup, op11_prefix_trie, op13_bpe)
+        op10_line_dedup, op11_prefix_trie, op12_hard_negatives,
+        op13_bpe)
 }
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -282,5 +288,30 @@ FROM nodes n JOIN below USING (p) LEFT JOIN children USING (p)
 LEFT JOIN nodes u ON n.depth > 0 AND u.p = n.p[1:n.depth - 1]
 """
 
+_OP12 = """
+WITH v AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS q
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)
+),
+scored AS (
+    SELECT a.vec_id AS anchor_id, x.vec_id, a.label = x.label AS same,
+           list_sum(list_transform(range(1, len(a.q) + 1), lambda i: a.q[i] * x.q[i])) AS score
+    FROM v a JOIN v x ON a.vec_id % 100 = 0 AND x.vec_id <> a.vec_id
+),
+positives AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT anchor_id, positive_id,
+       CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+       vec_id AS negative_id, CAST(positive_score AS BIGINT) AS positive_score, CAST(score AS BIGINT) AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10
+"""
+
 SQL: dict[str, str] = {"op2_decontamination": _OP2, "op7_warc": _OP7, "op8_jaccard_join": _OP8,
-    "op9_mixing": _OP9, "op10_line_dedup": _OP10, "op11_prefix_trie": _OP11}
+    "op9_mixing": _OP9, "op10_line_dedup": _OP10, "op11_prefix_trie": _OP11, "op12_hard_negatives": _OP12}
