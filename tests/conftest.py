@@ -7,8 +7,6 @@ from pyspark.sql import SparkSession
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-SMALL = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -30,6 +28,7 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def ws(spark):
     """The shared workspace over the smallest data set."""
+    from compare import SMALL
     from starmill.plans.workspace import workspace
 
     return workspace(spark, SMALL)

@@ -3,8 +3,7 @@
 import __spark_entry__ as contract
 import pytest
 import star_oracle
-from compare import connect, difference
-from conftest import SMALL
+from compare import SMALL, connect, difference
 
 ORACLE = star_oracle.statements()
 QUERIES = {name: query for name, query in contract.queries().items() if name in contract._QUERIES}
