@@ -301,6 +301,83 @@ def _lookup_fanout() -> str:
     )
 
 
+# Digits of the staging number columns, in all and behind the point.
+_NUMBER_LIMITS = {
+    "id": (18, 0), "customer_age": (9, 0), "product_price": (10, 2), "product_quantity": (9, 0),
+    "sale_customer_id": (9, 0), "sale_seller_id": (9, 0), "sale_product_id": (9, 0),
+    "sale_quantity": (9, 0), "sale_total_price": (10, 2), "product_weight": (10, 2),
+    "product_rating": (3, 1), "product_reviews": (9, 0),
+}
+
+# What is planted in three of them.
+_PLANTED = (
+    "SELECT CAST(id AS VARCHAR) AS id, CAST(customer_age AS VARCHAR) AS customer_age, "
+    "CASE WHEN id % 97 = 0 THEN 'n/a' WHEN id % 89 = 0 THEN '123456789012.5' "
+    "WHEN id % 83 = 0 THEN product_price::VARCHAR || '75' ELSE product_price::VARCHAR END AS product_price, "
+    "CAST(product_quantity AS VARCHAR) AS product_quantity, CAST(sale_customer_id AS VARCHAR) AS sale_customer_id, "
+    "CAST(sale_seller_id AS VARCHAR) AS sale_seller_id, CAST(sale_product_id AS VARCHAR) AS sale_product_id, "
+    "CASE WHEN id % 101 = 0 THEN '9999999999' WHEN id % 103 = 0 THEN sale_quantity::VARCHAR || '.5' "
+    "ELSE sale_quantity::VARCHAR END AS sale_quantity, CAST(sale_total_price AS VARCHAR) AS sale_total_price, "
+    "CAST(product_weight AS VARCHAR) AS product_weight, "
+    "CASE WHEN id % 107 = 0 THEN '99.96' WHEN id % 109 = 0 THEN '-0100.0' ELSE product_rating::VARCHAR END "
+    "AS product_rating, CAST(product_reviews AS VARCHAR) AS product_reviews FROM mock_data"
+)
+
+
+def _precision() -> str:
+    """By arithmetic: a value is too large if, rounded, it has more digits than the type."""
+    parts = []
+    for name, (digits, scale) in _NUMBER_LIMITS.items():
+        value = f"try_cast({name} AS DECIMAL(38,10))"
+        rules = {
+            "not_a_number": f"{value} IS NULL",
+            "too_large": f"abs(round({value}, {scale})) >= power(10, {digits - scale})",
+            "fraction": f"round({value}, {scale}) <> {value}",
+        }
+        parts += [
+            f"SELECT '{name}' AS column_name, {digits} AS max_digits, {scale} AS max_scale, '{rule}' AS rule, "
+            f"count(*) FILTER ({name} IS NOT NULL AND {broken}) AS broken_rows, "
+            f"max({name}) FILTER ({name} IS NOT NULL AND {broken}) AS example FROM planted"
+            for rule, broken in rules.items()
+        ]
+    return f"SELECT * FROM (WITH planted AS ({_PLANTED}) {' UNION ALL '.join(parts)})"
+
+
+def _rejects() -> str:
+    price = "try_cast(product_price AS DECIMAL(10,2))"
+    rating = "try_cast(product_rating AS DECIMAL(3,1))"
+    quantity = "CASE WHEN sale_quantity NOT LIKE '%.%' THEN try_cast(sale_quantity AS INT) END"
+    return (
+        f"SELECT * FROM (WITH planted AS ({_PLANTED}) SELECT CAST(id AS BIGINT) AS id, CAST({price} AS DOUBLE) AS product_price, "
+        f"{quantity} AS sale_quantity, CAST({rating} AS DOUBLE) AS product_rating, id AS record_begins FROM planted "
+        f"WHERE {price} IS NULL OR {rating} IS NULL OR {quantity} IS NULL)"
+    )
+
+
+def _multiplied() -> str:
+    """Every sale with the rows of each repeated dimension that it meets."""
+    day = _DAY.format("sale_date")
+    keys = {
+        "c": ("customer_first_name", "customer_last_name", "customer_email"),
+        "e": ("seller_first_name", "seller_last_name", "seller_email"),
+        "p": ("product_name", "product_category"), "t": ("store_name", "store_email"),
+        "u": ("supplier_name", "supplier_email"), "g": ("pet_category",), "d": ("day",),
+    }
+    joins = " ".join(
+        f"JOIN (SELECT {', '.join(on)}, count(*) AS n FROM sales GROUP BY ALL) {a} USING ({', '.join(on)})"
+        for a, on in keys.items()
+    )
+    copies = " * ".join(f"CAST({a}.n AS HUGEINT)" for a in keys)
+    return (
+        f"SELECT * FROM (WITH sales AS (SELECT *, {day} AS day FROM mock_data), "
+        f"multiplied AS (SELECT day, sale_quantity, CAST(sale_total_price * 100 AS BIGINT) AS cents, {copies} AS n FROM sales {joins}) "
+        "SELECT CAST(year(day) AS INT) AS year, CAST(month(day) AS INT) AS month, CAST(sum(n) AS VARCHAR) AS fact_rows, "
+        "CAST(sum(n * sale_quantity) AS VARCHAR) AS total_quantity, "
+        "CAST(sum(n * cents) // 100 AS VARCHAR) || '.' || lpad(CAST(sum(n * cents) % 100 AS VARCHAR), 2, '0') AS total_revenue "
+        "FROM multiplied GROUP BY 1, 2)"
+    )
+
+
 def _row_counts() -> str:
     tables = ["mock_data", *[dim for dim, _ in _STAR], "fact_sales"]
     return " UNION ALL ".join(
@@ -336,6 +413,9 @@ def statements() -> dict[str, str]:
         "audit_primary_keys": _with(_primary_keys(), "fact_sales"),
         "audit_foreign_keys": _with(_foreign_keys(), "fact_sales"),
         "audit_varchar_limits": _with(_varchar_limits(), "mock_data"),
+        "audit_precision": _with(_precision(), "mock_data"),
+        "csv_rejects": _with(_rejects(), "mock_data"),
+        "fact_sales_multiplied": _with(_multiplied(), "mock_data"),
         "audit_lookup_fanout": _with(_lookup_fanout(), "mock_data", *dims),
         "audit_row_counts": _with(_row_counts(), "fact_sales"),
     }

@@ -3,7 +3,8 @@
 This form differs from ``plans.star`` in the dimensions: every staging row gives
 a dimension row, nothing is deduplicated. The fact is the same, as it is
 resolved against the deduplicated dimensions; against the repeated ones each
-sale would be multiplied seven times over, which ``audits.lookup_fanout`` sizes.
+sale would be multiplied seven times over, which ``audits.lookup_fanout`` sizes and
+``multiplied.multiplied_totals`` sums up.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 
 from starmill.functions.dates import SALE_DATE_FORMAT
 from starmill.operators.dense_key import with_dense_key_along
+from starmill.operators.distinct_numbers import repeated, spreads
 from starmill.operators.lookup import Lookup, prepare
 from starmill.plans.star import FACT_ORDER, LOOKUP_ORDER, fact_inputs
 from starmill.schemas import (
@@ -62,13 +64,11 @@ def raw_dimension(staging: DataFrame, dim: Dimension) -> DataFrame:
 def _gap_free_start(staging: DataFrame) -> int | None:
     """The first id, if ids have no gap and none is missing or repeated. The rank of a row
     is then its id less a constant: no sort."""
-    ids = staging.agg(
-        F.min("id").alias("low"), F.max("id").alias("high"), F.count(F.lit(1)).alias("n"),
-        F.count_distinct("id").alias("different"),
-    ).first()
-    if ids["n"] and ids["high"] - ids["low"] + 1 == ids["n"] == ids["different"]:
-        return ids["low"]
-    return None
+    ids = spreads({"id": (staging, "id")})["id"]
+    if not ids.rows or ids.nulls or ids.high - ids.low + 1 != ids.rows:
+        return None
+    # As many numbers as places: none is missing if none is repeated.
+    return None if repeated(staging, "id", ids.lies_together).head(1) else ids.low
 
 
 def fact_sql(lookups: Mapping[str, Lookup]) -> str:

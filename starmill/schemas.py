@@ -266,6 +266,27 @@ def text_limits() -> dict[str, int]:
     }
 
 
+# Digits that any integer of a type may have.
+_INTEGER_DIGITS = {"int": 9, "bigint": 18}
+
+
+def number_limits() -> dict[str, tuple[int, int]]:
+    """Staging number columns, with the digits they may have in all and behind the point."""
+    limits = {}
+    for name, kind in STAGING_COLUMNS:
+        if kind.startswith("decimal"):
+            precision, scale = kind.removeprefix("decimal(").removesuffix(")").split(",")
+            limits[name] = int(precision), int(scale)
+        elif kind in _INTEGER_DIGITS:
+            limits[name] = _INTEGER_DIGITS[kind], 0
+    return limits
+
+
+def text_schema(schema: T.StructType) -> T.StructType:
+    """The same columns, all of them text."""
+    return T.StructType([T.StructField(f.name, T.StringType()) for f in schema])
+
+
 def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     """Select and cast to a table's schema; the one cast before each write."""
     return df.selectExpr(
