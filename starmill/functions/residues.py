@@ -32,15 +32,23 @@ def primes() -> tuple[int, ...]:
     return tuple(found)
 
 
-def remainder_sums(factors: Sequence[Column]) -> Column:
-    """An aggregate: remainders of the sum over rows of the product of whole numbers."""
-    sums = []
-    for p in primes():
-        left = F.lit(1).cast("long")
-        for factor in factors:  # both below 2^31
-            left = left * F.pmod(factor.cast("long"), F.lit(p)) % p
-        sums.append(F.pmod(F.sum(left.cast("decimal(19,0)")), F.lit(p)).cast("long"))
-    return F.array(*sums)
+def with_product(df: DataFrame, factors: Sequence[Column], name: str) -> DataFrame:
+    """Add the remainders of a product of whole numbers, as columns ``name`` and a number.
+
+    A factor at a time, so that no expression is longer than one multiplication.
+    """
+    columns = [f"{name}{i}" for i in range(len(primes()))]
+    df = df.withColumns(dict.fromkeys(columns, F.lit(1).cast("long")))
+    for factor in factors:  # remainders are below 2^31
+        df = df.withColumns({c: F.col(c) * F.pmod(factor.cast("long"), F.lit(p)) % p for c, p in zip(columns, primes())})
+    return df
+
+
+def remainder_sums(name: str, factor: Column) -> Column:
+    """An aggregate: remainders of the sum over rows of the product ``name`` times one more number."""
+    return F.array(*[
+        F.pmod(F.sum((F.col(f"{name}{i}") * F.pmod(factor.cast("long"), F.lit(p)) % p).cast("decimal(19,0)")), F.lit(p)).cast("long")
+        for i, p in enumerate(primes())])
 
 
 def _whole(remainders: Sequence[int]) -> int:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmill.functions.residues import remainder_sums, with_whole_numbers
+from starmill.functions.residues import remainder_sums, with_product, with_whole_numbers
 from starmill.operators.lookup import Lookup, join_all
 from starmill.plans.star import LOOKUP_ORDER, date_texts, lookup_columns
 from starmill.schemas import DATE, Dimension
@@ -44,10 +44,13 @@ def multiplied_totals(staging: DataFrame) -> DataFrame:
     cents = (F.col("sale_total_price") * 100).cast("long").alias("cents")
     sales = join_all(staging.select("id", *wanted, "sale_quantity", cents), lookups, row_id="id")
     copies = [F.col(_copies(dim)) for dim in LOOKUP_ORDER]
+    # Sales of one day whose keys are as frequent count as one, with all their measures summed up.
+    alike = sales.groupBy("year", "month", *map(_copies, LOOKUP_ORDER)).agg(
+        F.count(F.lit(1)).alias("sales"), F.sum("sale_quantity").alias("quantity"), F.sum("cents").alias("cents"))
     # Without a quantity or price in a month, its sum is null.
-    months = sales.groupBy("year", "month").agg(
-        remainder_sums(copies).alias("fact_rows"),
-        F.when(F.count("sale_quantity") > 0, remainder_sums([*copies, F.coalesce("sale_quantity", F.lit(0))])).alias("total_quantity"),
-        F.when(F.count("cents") > 0, remainder_sums([*copies, F.coalesce("cents", F.lit(0))])).alias("total_revenue"))
+    months = with_product(alike, copies, "_r").groupBy("year", "month").agg(
+        remainder_sums("_r", F.col("sales")).alias("fact_rows"),
+        F.when(F.count("quantity") > 0, remainder_sums("_r", F.coalesce("quantity", F.lit(0)))).alias("total_quantity"),
+        F.when(F.count("cents") > 0, remainder_sums("_r", F.coalesce("cents", F.lit(0)))).alias("total_revenue"))
     whole = with_whole_numbers(months, ["fact_rows", "total_quantity"])
     return with_whole_numbers(whole, ["total_revenue"], places=2)

@@ -51,7 +51,8 @@ def test_no_sales(spark):
 @pytest.mark.parametrize("factors", [(3, 5), (2 ** 62, 2 ** 62, 2 ** 61, 7), (-(2 ** 40), 2 ** 62, 2 ** 62), (0, 9)])
 def test_sums_of_products_of_any_size(spark, factors):
     df = spark.range(1000).select(F.lit(1).alias("g"), "id", *[F.lit(f).alias(f"f{i}") for i, f in enumerate(factors)])
-    sums = df.groupBy("g").agg(residues.remainder_sums([F.col("id"), *[F.col(f"f{i}") for i in range(len(factors))]]).alias("n"))
+    df = residues.with_product(df, [F.col(f"f{i}") for i in range(len(factors))], "r")
+    sums = df.groupBy("g").agg(residues.remainder_sums("r", F.col("id")).alias("n"))
     expected = 999 * 500
     for f in factors:
         expected *= f
