@@ -5,10 +5,15 @@ shingles with its transpose. It is computed in blocks that can hold an overlap l
 enough, and a block row by row:
 
 1. Equal sets are one row of the matrix, named by a hash of the set.
-2. Two sets within the bound differ in at most d shingles, where d follows from their
-   sizes. If shingles are dealt into more than d parts by hash, some are equal in both. So every set sends a hash of each part, and sets with an equal part meet. Where few
-   meet, pairs are discarded if their sizes, or bitmaps of shingle parities, exclude a large
-   enough overlap. Components of what is left are the blocks; no link runs between two.
+2. A set lacks at most some share of its shingles in one that links to it. So of its rarest
+   shingles, its prefix, it sends one more than that, and sets that sent the same one meet.
+   Two sets that link meet by some shingle. Where few meet, all pairs are formed; what follows
+   the prefixes and the number of meetings bound a pair's overlap. Where more meet, each of
+   them is found by parts instead: two sets within the bound differ in at most d shingles,
+   where d follows from their sizes, so if shingles are dealt into more than d parts by
+   hash, some are equal in both. Other pairs are discarded if their sizes, or bitmaps of
+   shingle parities, exclude a large enough overlap. Components of what is left are the
+   blocks; no link runs between two.
 3. In a block, pairs are discarded by the same bounds. For the others a row of the product
    accumulates exact overlaps. A set that is already in the component of a row is not
    compared again.
@@ -24,7 +29,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmill.llm.batches import map_arrow, sent, slices, utf8
@@ -35,11 +40,11 @@ from starmill.sources.stage import stage
 # Sets and shingles that are compared in one task at once.
 BLOCK_SETS = 4096
 BLOCK_SHINGLES = 1 << 20
-# Of a part with at most so many sets, all pairs are looked at; a larger one is a block.
-SMALL_MEETING = 12
+# Of a meeting of at most so many sets, all pairs are looked at; a larger one is a block.
+SMALL_MEETING = 24
 
-# Sets that make a shingle common, how many such shingles are sent to tasks at most (the
-# most common ones), and the share of other shingles above which sets meet by those alone.
+# Sets that make a shingle common, and how many such shingles are sent to tasks at most (the
+# most common ones).
 COMMON_SETS = 24
 COMMON_LIMIT = 1 << 20
 _RARE_SHARE = 0.4
@@ -64,6 +69,20 @@ class Rule:
         """Of a set of this size and any one that is not larger."""
         return 2 * size * (100 - self.percent) // (100 + self.percent)
 
+    def prefix(self, sizes: np.ndarray) -> np.ndarray:
+        """Of sets of these sizes, as many shingles as one that links must have one of: it has
+        at least ``percent`` of all, so it lacks fewer than these."""
+        return np.where(sizes > 0, sizes + -self.percent * sizes // 100 + 1, 0)
+
+    def may_overlap(self, a: Column, b: Column, times: Column) -> Column:
+        """Whether sets of sizes ``a`` and ``b`` can link if their prefixes share so many shingles.
+
+        Of the set whose prefix ends first, only what follows its prefix can add to these.
+        """
+        rest = -F.floor(F.greatest(a, b) * -self.percent / 100) - 1
+        least = -F.floor((a + b) * -self.percent / (100 + self.percent))
+        return (least <= F.least(a, b)) & (least <= times + rest)
+
     def classes(self, largest: int) -> np.ndarray:
         return _classes(self.percent, 1 << max(4, int(largest).bit_length()))
 
@@ -124,27 +143,28 @@ def _describe(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
 
 @dataclass(frozen=True)
 class Common:
-    """Shingles that very many sets have, sorted, at most ``COMMON_LIMIT``."""
+    """Shingles that very many sets have, sorted, at most ``COMMON_LIMIT``, and for each a
+    number from 1 that grows with the sets that have it (if none are given, 1)."""
 
     hashes: np.ndarray
+    grades: np.ndarray | None = None
 
     def __post_init__(self):
         bits = np.zeros(1 << 24, bool)
         bits[(self.hashes >> np.uint64(40)).astype(np.int64)] = True
         object.__setattr__(self, "_bits", bits)
 
-    def __getstate__(self):
-        return {"hashes": self.hashes}
-
-    def __setstate__(self, state):
-        object.__setattr__(self, "hashes", state["hashes"])
-        self.__post_init__()
-
-    def has(self, values: np.ndarray) -> np.ndarray:
-        found = self._bits[(values >> np.uint64(40)).astype(np.int64)]
-        at = np.flatnonzero(found)
-        place = np.searchsorted(self.hashes, values[at])
-        found[at] = self.hashes[np.minimum(place, len(self.hashes) - 1)] == values[at] if len(self.hashes) else False
+    def __reduce__(self):
+        return Common, (self.hashes, self.grades)
+
+    def grade(self, values: np.ndarray) -> np.ndarray:
+        """The grades of shingles, 0 for those that are not common."""
+        found = np.zeros(len(values), np.int64)
+        at = np.flatnonzero(self._bits[(values >> np.uint64(40)).astype(np.int64)])
+        if len(at):
+            place = np.minimum(np.searchsorted(self.hashes, values[at]), len(self.hashes) - 1)
+            found[at] = np.where(self.hashes[place] == values[at],
+                                 1 if self.grades is None else self.grades[place], 0)
         return found
 
 
@@ -169,7 +189,7 @@ def _repeated(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
 
 
 def common_shingles(docs: DataFrame, rule: Rule) -> Common:
-    """The most common shingles. They only steer which sets meet; links do not depend on it."""
+    """The most common shingles. They only steer where sets meet; links do not depend on it."""
     found = map_arrow(docs.select("text"), lambda b: _repeated(b, rule), "shingle long, n long")
     found = found.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_SETS)
     grade = F.floor(4 * F.log2("n")).cast("int")
@@ -181,12 +201,31 @@ def common_shingles(docs: DataFrame, rule: Rule) -> Common:
         if total > COMMON_LIMIT:
             break
         least = row["grade"]
-    rows = found.filter(F.col("grade") >= least).select("shingle").toArrow()
-    return Common(np.sort(rows.column("shingle").to_numpy().view(np.uint64)))
+    rows = found.filter(F.col("grade") >= least).toArrow()
+    hashes = rows.column("shingle").to_numpy().view(np.uint64)
+    order = np.argsort(hashes)
+    return Common(hashes[order], rows.column("grade").to_numpy()[order].astype(np.int64))
 
 
 def _meeting_places(values: np.ndarray, offsets: np.ndarray, rule: Rule, common: Common
                     ) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of the shingles in the prefix of each set, and the index of the set.
+
+    All shingles have one order: common ones come last, the most common at the very end, so that
+    a passage in very many documents brings few of them together. Shingles alike in this go by
+    hash. The prefix is as many of a set's first shingles as it can lack in a set that links to
+    it, and one more; so the prefixes of two sets that link share a shingle.
+    """
+    sizes = np.diff(offsets)
+    place = mix(values ^ _C3)
+    own = np.repeat(np.arange(len(sizes)), sizes)
+    order = np.lexsort((place, common.grade(values), own))
+    first = np.arange(len(values)) - offsets[:-1][own] < rule.prefix(sizes)[own]
+    return place[order][first], own[first]
+
+
+def _part_places(values: np.ndarray, offsets: np.ndarray, rule: Rule, common: Common
+                 ) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the parts that each set is found by, and the index of the set.
 
     Sets meet by their less common shingles, so that a passage in very many documents
@@ -194,7 +233,7 @@ def _meeting_places(values: np.ndarray, offsets: np.ndarray, rule: Rule, common:
     sets that link are bounded by each other, both do.
     """
     sizes = np.diff(offsets)
-    rare = ~common.has(values)
+    rare = common.grade(values) == 0
     kept = np.concatenate([[0], np.cumsum(rare)])[offsets]
     share = np.diff(kept) / np.maximum(sizes, 1)
     t = rule.percent / 100
@@ -254,35 +293,50 @@ def _rows(part, a, b) -> pa.RecordBatch:
         [pa.array(part, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["part", "a", "b"])
 
 
+def _sent(part: np.ndarray, a: np.ndarray, crowds: bool) -> Iterator[pa.RecordBatch]:
+    """(part, a) for the first sets of a part in a slice, and of others what ``_together`` says
+    of those in a large part, so that of a part that very many sets have, few rows move."""
+    if not len(part):
+        return
+    part = part.view(np.int64)
+    order = np.lexsort((a, part))
+    part, a = part[order], a[order]
+    new = np.concatenate([[True], (part[1:] != part[:-1]) | (a[1:] != a[:-1])])
+    part, a = part[new], a[new]
+    starts = np.concatenate([[True], part[1:] != part[:-1]])
+    first = np.flatnonzero(starts)[np.cumsum(starts) - 1]
+    send = np.arange(len(part)) - first <= SMALL_MEETING
+    yield _rows(part[send], a[send], pa.nulls(int(send.sum()), pa.int64()))
+    if not send.all():
+        links = np.unique(np.stack([a[~send] if crowds else a[first[~send]], a[~send]]), axis=1)
+        yield _rows(pa.nulls(links.shape[1], pa.int64()), links[0], links[1])
+
+
 def _meet(batches: Iterator[pa.RecordBatch], rule: Rule, common: Common) -> Iterator[pa.RecordBatch]:
-    """(part, a) for the first sets with a part in a slice, (a, b) from the first set to each
-    after ``SMALL_MEETING``, so that of a part that very many sets have, few rows move."""
     for batch in slices(batches, "text"):
         values, offsets = _unique_sets(batch, rule)
-        nodes = _names(values, offsets)[0].view(np.int64)
         part, index = _meeting_places(values, offsets, rule, common)
-        if not len(part):
-            continue
-        part, a = part.view(np.int64), nodes[index]
-        order = np.lexsort((a, part))
-        part, a = part[order], a[order]
-        new = np.concatenate([[True], (part[1:] != part[:-1]) | (a[1:] != a[:-1])])
-        part, a = part[new], a[new]
-        starts = np.concatenate([[True], part[1:] != part[:-1]])
-        first = np.flatnonzero(starts)[np.cumsum(starts) - 1]
-        send = np.arange(len(part)) - first <= SMALL_MEETING
-        yield _rows(part[send], a[send], pa.nulls(int(send.sum()), pa.int64()))
-        if not send.all():
-            links = np.unique(np.stack([a[first[~send]], a[~send]]), axis=1)
-            yield _rows(pa.nulls(links.shape[1], pa.int64()), links[0], links[1])
+        yield from _sent(part, _names(values, offsets)[0].view(np.int64)[index], True)
 
 
-def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _meet_by_parts(batches: Iterator[pa.RecordBatch], rule: Rule, common: Common, wanted: bytes
+                   ) -> Iterator[pa.RecordBatch]:
+    for batch in _wanted(batches, wanted):
+        values, offsets = _unique_sets(batch, rule)
+        part, index = _part_places(values, offsets, rule, common)
+        yield from _sent(part, _names(values, offsets)[0].view(np.int64)[index], False)
+
+
+def _together(batches: Iterator[pa.RecordBatch], crowds: bool) -> Iterator[pa.RecordBatch]:
     """Rows sorted by part, then set: all pairs of a part with few sets, which are still to be
-    filtered; of one with more, pairs of its first set with each other, which stay."""
+    filtered; of one with more, each set paired with itself if ``crowds``, else pairs of its
+    first set with each other, which stay."""
     held_part, held = np.zeros(0, np.int64), np.zeros(0, np.int64)
     large = None  # the part that is known to be large, and its first set
 
+    def crowd(first: np.ndarray, a: np.ndarray) -> pa.RecordBatch:
+        return _edges(a if crowds else first, a, False)
+
     def pairs(part: np.ndarray, a: np.ndarray) -> Iterator[pa.RecordBatch]:
         if not len(part):
             return
@@ -296,8 +350,7 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if not both.any():
                 break
             yield _edges(a[:-k][both], a[k:][both], True)
-        many = ~few & ~starts
-        yield _edges(a[begin[run[many]]], a[many], False)
+        yield crowd(a[begin[run[~few]]], a[~few])
 
     for batch in batches:
         if not batch.num_rows:
@@ -310,7 +363,7 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             continue
         if large is not None:  # goes on from the last batch
             own = part == large[0]
-            yield _edges(np.full(own.sum(), large[1]), a[own], False)
+            yield crowd(np.full(own.sum(), large[1]), a[own])
             if own.all():
                 continue
             part, a, large = part[~own], a[~own], None
@@ -322,11 +375,22 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_part, held = part[last:], a[last:]
         if len(held) > SMALL_MEETING:
             large = (held_part[0], held[0])
-            yield _edges(np.full(len(held) - 1, held[0]), held[1:], False)
+            yield crowd(np.full(len(held), held[0]), held)
             held_part, held = held_part[:0], held[:0]
     yield from pairs(held_part, held)
 
 
+def _meetings(rows: DataFrame, crowds: bool) -> DataFrame:
+    """(a, b, open, times): pairs of sets, the smaller first, whether they are still to be filtered,
+    and how often they met. A pair that meets in a large part stays, whatever its other parts."""
+    rows = rows.repartition(F.coalesce("part", F.xxhash64("a", "b"))).sortWithinPartitions("part", "a")
+    found = map_arrow(rows, lambda b: _together(b, crowds), "a long, b long, open boolean")
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
+    found = found.select(*ends, "open").groupBy("a", "b").agg(
+        F.min("open").alias("open"), F.count(F.lit(1)).alias("times"))
+    return stage(found, "meetings")[0]
+
+
 def _may_link(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
     """Pairs whose sizes and parities allow a large enough overlap."""
     ones = np.array([bin(i).count("1") for i in range(256)], np.uint8)
@@ -349,20 +413,24 @@ def _edges(a, b, open_: bool | None = None) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=names)
 
 
-def _fetch(batches: Iterator[pa.RecordBatch], rule: Rule, wanted: bytes) -> Iterator[pa.RecordBatch]:
-    """The sets of documents whose id passes the filter."""
+def _wanted(batches: Iterator[pa.RecordBatch], wanted: bytes) -> Iterator[pa.RecordBatch]:
+    """Slices of the documents whose id passes the filter."""
     table = np.frombuffer(wanted, np.uint8)
     for batch in batches:
-        ids = batch.column("doc_id")
-        at = _filter_place(ids.fill_null(0).to_numpy())
+        at = _filter_place(batch.column("doc_id").fill_null(0).to_numpy())
         hit = (table[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
-        for piece in slices(iter([batch.filter(pa.array(hit))]), "text"):
-            values, offsets = _unique_sets(piece, rule)
-            node, check = _names(values, offsets)
-            yield pa.RecordBatch.from_arrays(
-                [piece.column("doc_id"), pa.array(node.view(np.int64)), pa.array(check.view(np.int64)),
-                 pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))],
-                names=["doc_id", "node", "check", "set"])
+        yield from slices(iter([batch.filter(pa.array(hit))]), "text")
+
+
+def _fetch(batches: Iterator[pa.RecordBatch], rule: Rule, wanted: bytes) -> Iterator[pa.RecordBatch]:
+    """The sets of documents whose id passes the filter."""
+    for piece in _wanted(batches, wanted):
+        values, offsets = _unique_sets(piece, rule)
+        node, check = _names(values, offsets)
+        yield pa.RecordBatch.from_arrays(
+            [piece.column("doc_id"), pa.array(node.view(np.int64)), pa.array(check.view(np.int64)),
+             pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values.view(np.int64)))],
+            names=["doc_id", "node", "check", "set"])
 
 
 _FILTER_BITS = 24
@@ -527,12 +595,28 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
 
     # Blocks: sets that share a part, directly or over others.
     common = common_shingles(named, rule)
-    meetings = map_arrow(named.select("text"), lambda b: _meet(b, rule, common), "part long, a long, b long")
-    by_part = meetings.repartition(F.coalesce("part", F.xxhash64("a", "b"))).sortWithinPartitions("part", "a")
-    meetings = map_arrow(by_part, _together, "a long, b long, open boolean").filter("a <> b")
-    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")
-    # A pair that meets in a large part stays, whatever its other parts.
-    meetings, _ = stage(meetings.select(*ends, "open").groupBy("a", "b").agg(F.min("open").alias("open")), "meetings")
+    meetings = _meetings(
+        map_arrow(named.select("text"), lambda b: _meet(b, rule, common), "part long, a long, b long"), True)
+    # Two sets that met in a crowd are both in the second meetings. Others met at every
+    # shingle that both their prefixes have.
+    crowd = meetings.filter("a = b").select(F.col("a").alias("node"))
+    crowd = linkable.join(crowd, "node").groupBy("node").agg(F.min("doc_id").alias("doc_id"))
+    crowd, n_crowd = stage(crowd, "crowd")
+    sizes = linkable.groupBy("node").agg(F.first("n_shingles").alias("n"))
+    pairs = meetings.filter("a <> b")
+    for end in ("a", "b"):
+        pairs = pairs.join(sizes.select(F.col("node").alias(end), F.col("n").alias(f"n_{end}")), end)
+    pairs = pairs.filter(rule.may_overlap(F.col("n_a"), F.col("n_b"), F.col("times"))).select("a", "b", "open")
+    if n_crowd:
+        for end in ("a", "b"):
+            pairs = pairs.join(sent(crowd.select(F.col("node").alias(end), F.lit(True).alias(f"crowd_{end}")), n_crowd),
+                               end, "left")
+        pairs = pairs.filter("crowd_a is null or crowd_b is null").select("a", "b", "open")
+        chosen = _id_filter(crowd)
+        again = _meetings(map_arrow(named, lambda b: _meet_by_parts(b, rule, common, chosen),
+                                    "part long, a long, b long"), False).filter("a <> b")
+        pairs = pairs.union(again.select("a", "b", "open")).groupBy("a", "b").agg(F.min("open").alias("open"))
+    meetings, _ = stage(pairs, "pairs")
     shapes = linkable.groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("bits").alias("bits"))
     pairs = meetings.filter("open").select("a", "b")
     for end in ("a", "b"):

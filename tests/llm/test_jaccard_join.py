@@ -113,9 +113,38 @@ def test_sets_that_link_meet(percent):
                 continue
             part, index = jj._meeting_places(
                 np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), rule, hot)
+            shared = set(part[index == 0]) & set(part[index == 1])
+            assert shared, (size, other, both)
+            rest = max(n - rule.prefix(np.array([n]))[0] for n in (len(a), len(b)))
+            assert rule.least_overlap(len(a), len(b)) <= len(shared) + rest
+            part, index = jj._part_places(
+                np.concatenate([a, b]), np.array([0, len(a), len(a) + len(b)]), rule, hot)
             assert set(part[index == 0]) & set(part[index == 1]), (size, other, both)
 
 
+def test_bound_of_pairs_in_spark_equals_that_of_sets(spark):
+    rule = jj.Rule(3, 80)
+    rows = [(a, b, t) for a in (1, 4, 5, 25, 99, 4500) for b in (1, 5, 21, 25, 100, 5000) for t in (1, 2, 9, 400)]
+    df = spark.createDataFrame(rows, "a long, b long, t long")
+    kept = df.filter(rule.may_overlap(df.a, df.b, df.t)).collect()
+    expected = [(a, b, t) for a, b, t in rows if rule.least_overlap(a, b) <= min(
+        a, b, t + max(n - int(rule.prefix(np.array([n]))[0]) for n in (a, b)))]
+    assert [tuple(r) for r in kept] == expected and 0 < len(expected) < len(rows)
+
+
+@pytest.mark.parametrize("meeting", [2, 5])
+def test_crowded_meetings_lose_no_link(spark, monkeypatch, meeting):
+    """Sets that meet by shingles of very many sets, of which none is taken for common."""
+    monkeypatch.setattr(jj, "SMALL_MEETING", meeting)
+    monkeypatch.setattr(jj, "COMMON_SETS", 1000)
+    rng = random.Random(meeting)
+    passages = [sentence(rng, 50) for _ in range(3)]
+    texts = [t for n in (30, 7, 3) for t in family(rng, n, 60, 3)]
+    texts += [rng.choice(passages) + " " + sentence(rng, rng.choice([3, 10, 40])) for _ in range(60)]
+    rows = list(enumerate(texts))
+    assert found(jj.near_duplicates(documents(spark, texts), 3, 80)) == brute(rows, 3, 80)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(1000, 1100)]
