@@ -378,6 +378,29 @@ def _multiplied() -> str:
     )
 
 
+def _sales_in_full() -> str:
+    """The fact of one load, with the columns of its dimensions in place of keys."""
+    prefix = {"dim_customer": "customer_", "dim_seller": "seller_", "dim_product": "product_", "dim_store": "store_",
+              "dim_supplier": "supplier_", "dim_pet_category": "pet_", "dim_date": ""}
+    columns = {
+        "dim_customer": "first_name last_name age email country postal_code pet_type pet_name pet_breed",
+        "dim_seller": "first_name last_name email country postal_code",
+        "dim_product": "name category price quantity weight color size brand material rating reviews "
+                       "release_date expiry_date",
+        "dim_store": "name location city state country phone email",
+        "dim_supplier": "name contact email phone address city country",
+        "dim_pet_category": "category", "dim_date": "sale_date",
+    }
+    doubles = {"price", "weight", "rating"}
+    shown = [
+        (f"CAST({dim}.{c} AS DOUBLE)" if c in doubles else f"{dim}.{c}") + f" AS {prefix[dim]}{c}"
+        for dim, _ in _STAR for c in columns[dim].split()
+    ]
+    joins = " ".join(f"JOIN {dim} USING ({key})" for dim, key in _STAR)
+    return (f"SELECT sale_quantity, CAST(sale_total_price AS DOUBLE) AS sale_total_price, {', '.join(shown)} "
+            f"FROM fact_sales {joins}")
+
+
 def _row_counts() -> str:
     tables = ["mock_data", *[dim for dim, _ in _STAR], "fact_sales"]
     return " UNION ALL ".join(
@@ -415,6 +438,7 @@ def statements() -> dict[str, str]:
         "audit_varchar_limits": _with(_varchar_limits(), "mock_data"),
         "audit_precision": _with(_precision(), "mock_data"),
         "csv_rejects": _with(_rejects(), "mock_data"),
+        "star_appended": _with(_sales_in_full(), "fact_sales"),
         "fact_sales_multiplied": _with(_multiplied(), "mock_data"),
         "audit_lookup_fanout": _with(_lookup_fanout(), "mock_data", *dims),
         "audit_row_counts": _with(_row_counts(), "fact_sales"),

@@ -42,7 +42,7 @@ def parse(arguments: list[str] | None = None) -> argparse.Namespace:
         command = jobs.add_parser(job)
         command.add_argument("--source", type=place, required=True)
         command.add_argument("--target", type=place, required=True)
-        modes = ("overwrite",) if job == "star" else ("overwrite", "append")
+        modes = ("overwrite", *(("appendable",) if job == "star" else ()), "append")
         command.add_argument("--mode", choices=modes, default="overwrite")
         if job == "star":
             command.add_argument("--strict-grain", action="store_true")

@@ -213,6 +213,8 @@ DATE = Dimension("dim_date", "", ("sale_date",), ("sale_date",), one_row_per_loo
 DIMENSIONS = (CUSTOMER, SELLER, PRODUCT, STORE, SUPPLIER, PET_CATEGORY, DATE)
 
 FACT_TABLE = "fact_sales"
+# The largest staging id of each load of a star that is appended to.
+LOADED_TABLE = "star_loads"
 FACT_MEASURES = ("sale_quantity", "sale_total_price")
 
 _TYPES = {name: kind for name, kind in STAGING_COLUMNS}
@@ -252,6 +254,8 @@ def table_schema(table: str) -> T.StructType:
         return staging_schema()
     if table == FACT_TABLE:
         return fact_schema()
+    if table == LOADED_TABLE:
+        return _schema([("last_id", "bigint")])
     if table in MART_COLUMNS:
         return mart_schema(table)
     return dimension_schema(next(dim for dim in DIMENSIONS if dim.table == table))
