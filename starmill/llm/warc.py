@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmill.llm.batches import map_arrow, slices
+from starmill.llm.batches import map_arrow, sent, slices
 from starmill.sources.stage import new_stage_path, stage
 
 SEGMENT_BYTES = 32 << 10
@@ -158,8 +158,8 @@ def write_archives(pages: DataFrame, path: str, segment_bytes: int = SEGMENT_BYT
     (unpacked) or one record."""
     pages = pages.select(F.col("page_id").cast("long").alias("page_id"), F.col("url").cast("string").alias("url"),
                          F.col("html").cast("string").alias("html"))
-    again, _ = stage(revisits(pages, least_bytes), "revisits")
-    again = again.select(F.col("page_id").alias("_id"), F.col("sha1").alias("_sha1"), "refers_to")
+    again, n = stage(revisits(pages, least_bytes), "revisits")
+    again = sent(again.select(F.col("page_id").alias("_id"), F.col("sha1").alias("_sha1"), "refers_to"), n)
     same = (F.col("page_id") == F.col("_id")) & (_sha1() == F.col("_sha1"))
     joined = pages.join(again, same, "left").drop("_id", "_sha1")
     packed = map_arrow(joined, lambda b: _archive(b, segment_bytes, archive_bytes), "value string")
@@ -184,7 +184,7 @@ def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
 
 
 _SEGMENT = ("record_id string, origin_id string, number int, total_length long, type string, page_id long, "
-            "digest string, refers_to long, block binary")
+            "digest string, refers_to long, block binary, problem string")
 
 
 def _unpack(data: bytes) -> bytes:
@@ -202,52 +202,63 @@ def _number(value: str | None) -> int | None:
     return int(value) if value else None
 
 
-def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _read(batches: Iterator[pa.RecordBatch], keep_broken: bool) -> Iterator[pa.RecordBatch]:
     kinds = [pa.string(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(),
-             pa.binary()]
-    names = ["record_id", "origin_id", "number", "total_length", "type", "page_id", "digest", "refers_to", "block"]
+             pa.binary(), pa.string()]
+    names = ["record_id", "origin_id", "number", "total_length", "type", "page_id", "digest", "refers_to", "block",
+             "problem"]
     for batch in batches:
-        for content in batch.column("content"):
+        for path, content in zip(batch.column("path"), batch.column("content")):
             rows = []
-            for f, block in parse(_unpack(content.as_py())):
-                if f["warc-type"] not in ("response", "revisit", "continuation"):
-                    continue
-                number = _number(f.get("warc-segment-number"))
-                rows.append((f["warc-record-id"], f.get("warc-segment-origin-id"), number,
-                             _number(f.get("warc-segment-total-length")), f["warc-type"], _number(f.get("page-id")),
-                             f.get("warc-payload-digest", "").removeprefix("sha1:"),
-                             _number(f.get("refers-to-page-id")), block))
+            try:
+                for f, block in parse(_unpack(content.as_py())):
+                    if f["warc-type"] not in ("response", "revisit", "continuation"):
+                        continue
+                    number = _number(f.get("warc-segment-number"))
+                    rows.append((f["warc-record-id"], f.get("warc-segment-origin-id"), number,
+                                 _number(f.get("warc-segment-total-length")), f["warc-type"], _number(f.get("page-id")),
+                                 f.get("warc-payload-digest", "").removeprefix("sha1:"),
+                                 _number(f.get("refers-to-page-id")), block, None))
+            except (ValueError, KeyError, zlib.error) as fault:
+                if not keep_broken:
+                    raise
+                rows.append((None,) * 9 + (f"{path}: {fault}",))
             columns = list(zip(*rows)) or [()] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
 
-def read_segments(spark: SparkSession, path: str) -> DataFrame:
+def read_segments(spark: SparkSession, path: str, keep_broken: bool = False) -> DataFrame:
     """Response, revisit and continuation records of all archives below ``path``; an archive
-    is read as a whole, so it has to fit in a task."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
-    return map_arrow(files, _read, _SEGMENT)
+    is read as a whole, so it has to fit in a task.
+
+    An archive that breaks off or holds something else fails, or with ``keep_broken`` gives the
+    records before that place and a row that has only ``problem``, the path and what is wrong.
+    """
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    return map_arrow(files, lambda b: _read(b, keep_broken), _SEGMENT)
 
 
-def reassemble(segments: DataFrame) -> DataFrame:
+def reassemble(segments: DataFrame, keep_broken: bool = False) -> DataFrame:
     """Whole records: those of one segment as they are, others with their blocks joined.
 
-    Segments are grouped by the record they belong to and ordered by number; a missing
-    number or a length other than the total fails. Only segmented records are shuffled, a
-    record at a time.
+    Segments are grouped by the record they belong to and ordered by number; a missing or
+    repeated number or a length other than the total fails, or with ``keep_broken`` gives a row
+    without block that says so in ``problem``. Only segmented records are shuffled, a
+    record at a time, and each byte is copied once.
     """
     single = F.col("origin_id").isNull() & F.col("number").isNull()
     origin = F.coalesce("origin_id", "record_id")
     grouped = segments.filter(~single).groupBy(origin.alias("record_id")).agg(
-        F.array_sort(F.collect_list(F.struct("number", "block"))).alias("parts"),
+        F.sort_array(F.collect_list("number")).alias("numbers"),
+        F.expr("listagg(block) WITHIN GROUP (ORDER BY number)").alias("block"),
         F.max("total_length").alias("total"),
         *[F.max(F.when(F.col("number") == 1, F.col(c))).alias(c) for c in ("type", "page_id", "digest", "refers_to")])
-    block = F.aggregate("parts", F.lit(b""), lambda a, x: F.concat(a, x["block"]))
-    numbers = F.transform("parts", lambda x: x["number"])
-    sound = (numbers == F.sequence(F.lit(1), F.size("parts"))) & (F.octet_length("block") == F.col("total"))
-    broken = F.raise_error(F.concat(F.lit("segments missing of "), F.col("record_id"))).cast("binary")
-    columns = ["record_id", "type", "page_id", "digest", "refers_to", "block"]
-    joined = grouped.withColumn("block", block).withColumn(
-        "block", F.when(F.coalesce(sound, F.lit(False)), F.col("block")).otherwise(broken))
+    sound = (F.col("numbers") == F.sequence(F.lit(1), F.size("numbers"))) & (F.octet_length("block") == F.col("total"))
+    broken = F.when(~F.coalesce(sound, F.lit(False)), F.concat(F.lit("segments missing of "), F.col("record_id")))
+    joined = grouped.withColumn("problem", broken)
+    missing = F.lit(None) if keep_broken else F.raise_error(F.col("problem"))
+    joined = joined.withColumn("block", F.when(F.col("problem").isNull(), F.col("block")).otherwise(missing.cast("binary")))
+    columns = ["record_id", "type", "page_id", "digest", "refers_to", "block", "problem"]
     return segments.filter(single).select(*columns).unionByName(joined.select(*columns))
 
 
@@ -258,32 +269,48 @@ def http_payload(block: bytes) -> tuple[dict[str, str], bytes]:
     return fields, dechunked(body) if fields.get("transfer-encoding") == "chunked" else body
 
 
-def _open(batches: Iterator[pa.RecordBatch], with_html: bool) -> Iterator[pa.RecordBatch]:
+def _open(batches: Iterator[pa.RecordBatch], with_html: bool, keep_broken: bool) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, "block"):
         rows = []
         for r in batch.to_pylist():
-            fields, payload = http_payload(r["block"])
-            if r["type"] == "revisit":
-                rows.append((r["page_id"], int(fields["content-length"]), r["digest"], "revisit", r["refers_to"], None))
-                continue
-            if payload_digest(payload) != r["digest"]:
-                raise ValueError(f"payload of {r['record_id']} does not have its digest")
-            html = payload.decode() if with_html else None
-            rows.append((r["page_id"], len(payload), r["digest"], "response", None, html))
-        columns = list(zip(*rows)) or [()] * 6
-        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
+            payload, problem = None, r["problem"]
+            try:
+                if problem is None:
+                    fields, payload = http_payload(r["block"])
+                    if r["type"] == "revisit":
+                        rows.append((r["page_id"], int(fields["content-length"]), r["digest"], "revisit", r["refers_to"],
+                                     None, None))
+                        continue
+                    if payload_digest(payload) != r["digest"]:
+                        raise ValueError(f"payload of {r['record_id']} does not have its digest")
+                    html = payload.decode() if with_html else None
+                    rows.append((r["page_id"], len(payload), r["digest"], "response", None, html, None))
+                    continue
+            except (ValueError, KeyError) as fault:
+                if not keep_broken:
+                    raise
+                problem = f"{r['record_id']}: {fault}"
+            rows.append((r["page_id"], None, r["digest"], r["type"], r["refers_to"], None, problem))
+        columns = list(zip(*rows)) or [()] * 7
+        kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
         yield pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds)],
-            names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "html"])
+            names=["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "html", "problem"])
 
 
-def read_archives(spark: SparkSession, path: str, with_html: bool = True) -> DataFrame:
+def read_archives(spark: SparkSession, path: str, with_html: bool = True, keep_broken: bool = False) -> DataFrame:
     """Per response or revisit: page_id, payload_bytes, payload_digest, record_type,
-    refers_to and html, the payload (null in a revisit, and unless ``with_html``)."""
-    records = reassemble(read_segments(spark, path))
-    return map_arrow(records, lambda b: _open(b, with_html),
+    refers_to and html, the payload (null in a revisit, and unless ``with_html``).
+
+    What is broken fails the read, or with ``keep_broken`` is a row with as much as is known, and
+    what is wrong in a further column ``problem``: an archive from the broken place on, a
+    record that lacks segments, a payload without its digest. All other records are read.
+    """
+    records = reassemble(read_segments(spark, path, keep_broken), keep_broken)
+    rows = map_arrow(records, lambda b: _open(b, with_html, keep_broken),
                      "page_id long, payload_bytes long, payload_digest string, record_type string, "
-                     "refers_to long, html string")
+                     "refers_to long, html string, problem string")
+    return rows if keep_broken else rows.drop("problem")
 
 
 def archive_roundtrip(pages: DataFrame) -> DataFrame:
@@ -291,8 +318,8 @@ def archive_roundtrip(pages: DataFrame) -> DataFrame:
 
     Null html is the empty payload. A page whose payload a smaller page_id has too is a
     revisit of the smallest such page. A null page_id is never a revisit nor revisited,
-    and rows that repeat the smallest page_id are all responses. An empty table gives an
-    empty result.
+    and rows that repeat the smallest page_id are all responses. A very long page is cut into
+    segments and put together again within one task. An empty table gives an empty result.
     """
     spark = pages.sparkSession
     path = new_stage_path(spark, "warc")

@@ -78,3 +78,32 @@ def test_broken_records_fail():
     for bad in (record[1:], record.replace(b"Length: 3", b"Length: 2")):
         with pytest.raises(ValueError):
             list(warc.parse(bad))
+
+
+def test_broken_records_are_kept_apart(spark, tmp_path):
+    path = str(tmp_path / "warc")
+    warc.write_archives(pages(spark, [(1, "u", "x" * 5000), (2, "u", "y"), (3, "u", "z" * 3000)]), path, segment_bytes=1000)
+    segments = warc.read_segments(spark, path, keep_broken=True)
+    lost = segments.filter("number IS NULL OR number <> 3 OR page_id = 3 OR total_length > 4000")
+    found = {r.page_id: r for r in warc.reassemble(lost, keep_broken=True).collect()}
+    assert "segments missing" in found[1].problem and found[1].block is None
+    assert found[2].problem is None and found[2].block is not None
+    # An archive that breaks off: its records up to there, and a row that tells of it.
+    record = [b"".join(p + b"\r\n\r\n" for p in warc.page_records(
+        "00000000-0000-0000-0000-00000000000%d" % k, k, "u", b"text", digest, None, 1000))
+        for k, digest in ((7, warc.payload_digest(b"text")), (8, "wrong"), (9, ""))]
+    (tmp_path / "cut").mkdir()
+    (tmp_path / "cut" / "part-0").write_bytes(record[0] + record[1] + record[2][:-20])
+    with pytest.raises(Exception, match="not as long|substring|subsection|digest"):
+        warc.read_archives(spark, str(tmp_path / "cut")).collect()
+    rows = warc.read_archives(spark, str(tmp_path / "cut"), keep_broken=True).collect()
+    assert [(r.page_id, r.html) for r in rows if r.problem is None] == [(7, "text")]
+    problems = sorted((r.page_id or 0, r.problem) for r in rows if r.problem)
+    assert len(problems) == 2 and "part-0" in problems[0][1] and "digest" in problems[1][1]
+
+
+def test_a_very_long_page_is_put_together(spark, tmp_path):
+    text = "é<p>long page</p>\n" * 700_000  # 13 MB in 13 segments
+    warc.write_archives(pages(spark, [(1, "u", text), (2, "u", "short")]), str(tmp_path / "w"), segment_bytes=1 << 20)
+    found = {r.page_id: r for r in warc.read_archives(spark, str(tmp_path / "w")).collect()}
+    assert found[1].html == text and found[1].payload_bytes == len(text.encode()) and found[2].html == "short"
