@@ -8,6 +8,7 @@ from sales import sale, staging, tuples
 from starmill.plans.jobs import load_marts, load_staging, load_star
 from starmill.plans.marts import MARTS, build_mart
 from starmill.schemas import MART_ORDER, STAGING_TABLE, staging_schema
+from starmill.sources import stage
 from starmill.sources.csv_files import CsvFolder, read_csv, write_csv
 from starmill.sources.jdbc import clickhouse, clickhouse_definition, postgres
 from starmill.sources.stage import SHARED_MOUNT, stage_folder
@@ -215,6 +216,24 @@ def test_a_folder_of_each_machine_is_refused_on_a_cluster(spark):
         stage_folder(Cluster(None))
 
 
+def test_a_mount_that_all_machines_share_is_used_on_a_cluster(spark, conf):
+    conf("spark.master", "spark://host:7077")
+    staged, n = stage.stage(spark.range(10), "ten")
+    assert n == staged.count() == 10
+    assert all(spark.conf.get("spark.checkpoint.dir") in file for file in staged.inputFiles())
+
+
+def test_a_folder_that_does_not_give_back_what_tasks_write_is_refused(spark, conf, monkeypatch):
+    conf("spark.master", "spark://host:7077")
+    stage._is_shared.cache_clear()
+    # What the tasks of another machine wrote is not there.
+    read = stage._read_back
+    monkeypatch.setattr(stage, "_read_back", lambda rows, path: read(rows.filter("id <> 3"), path))
+    with pytest.raises(RuntimeError, match="disk of each machine"):
+        stage_folder(spark)
+    stage._is_shared.cache_clear()
+
+
 def test_what_a_load_stages_is_in_one_folder(spark, tmp_path):
     write_csv(staging(spark, sale(1), sale(2)), str(tmp_path / "in"))
     done = load_star(spark, CsvFolder(str(tmp_path / "in")), ParquetZone(str(tmp_path / "star")))
