@@ -4,7 +4,8 @@ P(word | words before) = P(class | words before) * P(word | class). The first fa
 log-bilinear neural model: a position-weighted sum of the vectors of the classes before
 gives a vector, whose products with all class vectors give the log-probabilities, exactly
 normalised. It is trained in numpy by noise-contrastive estimation on all training
-documents: tasks train from the same start, and their parameters are averaged by tokens.
+documents, twice: tasks train from the same start, and their parameters are averaged by
+tokens, which is the start of the second time.
 The second factor, and the base score, use exact counts of all training tokens.
 
 Frequent words have a class each; the others fall into classes by their ends, which tell
@@ -33,7 +34,8 @@ DIMENSIONS = 16
 NOISE = 24
 BATCH = 1024
 RATE = 0.15
-ROUNDS = 2  # the first on every eighth document, for a common start
+ROUNDS = 2  # each on all training documents; the first gives a common start
+SCORED = 1024  # contexts whose products with all classes are held at once
 # Tokens that are at least this share of all are known to every task; so at most
 # 1 / share tokens are sent. Others are joined.
 FREQUENT_SHARE = 2e-6
@@ -184,12 +186,30 @@ class LogBilinear:
         return (self.r[context] * self.c).sum(axis=1)
 
     def log_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural logs of P(target class | context classes), normalised over all classes."""
-        scores = self.predicted(context) @ self.q.T + self.b
-        top = scores.max(axis=1)
-        np.subtract(scores, top[:, None], out=scores)
-        own = scores[np.arange(len(target)), target].astype(np.float64)
-        return own - np.log(np.exp(scores, out=scores).sum(axis=1, dtype=np.float64))
+        """Natural logs of P(target class | context classes), normalised over all classes.
+
+        The normaliser is that of a context, so it is found once for each that occurs.
+        """
+        if not len(target):
+            return np.zeros(0)
+        code = context[:, 0].astype(np.int64)
+        for k in range(1, CONTEXT):
+            code = code * len(self.r) + context[:, k]
+        order = np.argsort(code)
+        code = code[order]
+        new = np.concatenate([[True], code[1:] != code[:-1]])
+        which = np.empty(len(code), np.int64)
+        which[order] = np.cumsum(new) - 1
+        h = self.predicted(context[order[new]])
+        whole = np.empty(len(h))
+        for a in range(0, len(h), SCORED):
+            scores = self.q @ h[a:a + SCORED].T
+            scores += self.b[:, None]
+            top = scores.max(axis=0)
+            scores -= top
+            whole[a:a + SCORED] = np.log(np.exp(scores, out=scores).sum(axis=0)) + top.astype(np.float64)
+        own = np.einsum("ij,ij->i", h.take(which, axis=0), self.q.take(target, axis=0)) + self.b[target]
+        return own.astype(np.float64) - whole[which]
 
 
 def contexts(classes: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray:
@@ -204,11 +224,17 @@ def contexts(classes: np.ndarray, lengths: np.ndarray, start: int) -> np.ndarray
     return out
 
 
-def _add(total: np.ndarray, index: np.ndarray, rows: np.ndarray) -> None:
-    """Add rows at repeated indexes, by a product with their sparse 0/1 matrix in sorted form."""
+def _sums(index: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    """Sums of the rows at each of ``n`` indexes; rows begin anew if there are more indexes."""
+    index = index.astype(np.uint16)  # sorted in linear time
     order = np.argsort(index, kind="stable")
-    found, begin = np.unique(index[order], return_index=True)
-    total[found] += np.add.reduceat(rows[order], begin, axis=0)
+    index = index.take(order)
+    begin = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
+    if len(order) > len(rows):
+        order %= len(rows)
+    total = np.zeros((n, rows.shape[1]), np.float32)
+    total[index[begin]] = np.add.reduceat(rows.take(order, axis=0), begin, axis=0)
+    return total
 
 
 class Trainer:
@@ -230,24 +256,34 @@ class Trainer:
 
     def learn(self, context: np.ndarray, target: np.ndarray) -> None:
         m, n = self.m, len(target)
+        size = len(m.r)
         drawn = np.searchsorted(self._ends, self._random.random_sample(NOISE) * self._ends[-1]).astype(np.int64)
         drawn = np.minimum(drawn, len(m.b) - 1)
-        before = m.r[context]
-        h = (before * m.c).sum(axis=1)
-        real = (h * m.q[target]).sum(axis=1) + m.b[target] - self._noise[target]
-        false = h @ m.q[drawn].T + m.b[drawn] - self._noise[drawn]
+        # Class vectors by position, one table; places of the contexts in it.
+        weighed = (m.c[:, None, :] * m.r).reshape(CONTEXT * size, DIMENSIONS)
+        at = context.T + np.arange(0, CONTEXT * size, size)[:, None]
+        h = weighed.take(at[0], axis=0)
+        for k in range(1, CONTEXT):
+            h += weighed.take(at[k], axis=0)
+        q, noise_q = m.q.take(target, axis=0), m.q[drawn]
+        real = np.einsum("ij,ij->i", h, q) + (m.b - self._noise).take(target)
         up = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        down = -1 / (1 + np.exp(-np.clip(false, -30, 30)))
-        slope_h = up[:, None] * m.q[target] + down @ m.q[drawn]
-        slope_q, slope_b = np.zeros_like(m.q), np.zeros_like(m.b)
-        _add(slope_q, target, up[:, None] * h)
+        down = h @ -noise_q.T
+        down -= (m.b - self._noise)[drawn]
+        np.exp(np.clip(down, -30, 30, out=down), out=down)
+        down += 1
+        np.divide(-1, down, out=down)
+        slope_h = down @ noise_q
+        q *= up[:, None]
+        slope_h += q
+        slope_q = _sums(target, up[:, None] * h, len(m.q))
         np.add.at(slope_q, drawn, down.T @ h)
-        slope_b += np.bincount(target, up, len(slope_b)).astype(np.float32)
-        slope_b += np.bincount(drawn, down.sum(axis=0), len(slope_b)).astype(np.float32)
-        slope_r = np.zeros_like(m.r)
-        for k in range(CONTEXT):
-            _add(slope_r, context[:, k], slope_h * m.c[k])
-        slope_c = (before * slope_h[:, None, :]).sum(axis=0)
+        slope_b = np.bincount(target, up, len(m.b)).astype(np.float32)
+        slope_b += np.bincount(drawn, down.sum(axis=0), len(m.b)).astype(np.float32)
+        # Slopes of a class at a position, of which those of r and c are made.
+        placed = _sums(at.ravel(), slope_h, CONTEXT * size).reshape(CONTEXT, size, DIMENSIONS)
+        slope_r = (placed * m.c[:, None, :]).sum(axis=0)
+        slope_c = (placed * m.r).sum(axis=1)
         for k, (x, slope) in enumerate(((m.r, slope_r), (m.q, slope_q), (m.b, slope_b), (m.c, slope_c))):
             self._step(x, k, slope / n)
         self.seen += n
@@ -269,7 +305,7 @@ def _train(batches: Iterator[pa.RecordBatch], model: LogBilinear, classes: Class
         order = random.permutation(len(own))
         for a in range(0, len(order), BATCH):
             pick = order[a:a + BATCH]
-            trainer.learn(before[pick], own[pick])
+            trainer.learn(before.take(pick, axis=0), own[pick])
     if trainer.seen:
         values = trainer.m.flat().astype(np.float64)
         yield pa.RecordBatch.from_arrays(
@@ -301,9 +337,8 @@ def fit(train: DataFrame, counts: DataFrame) -> LanguageModel:
     class_log = np.where(single, np.log10(c + 1), np.log10(c + words + 1))
     unigram = (c + 1) / (c + 1).sum()
     model = LogBilinear.start(unigram)
-    for turn in range(ROUNDS):
-        part = train if turn == ROUNDS - 1 else train.filter(F.pmod(F.xxhash64("text"), F.lit(8)) == 0)
-        sent = map_arrow(part.select("text"), lambda b, m=model: _train(b, m, classes, unigram),
+    for _ in range(ROUNDS):
+        sent = map_arrow(train.select("text"), lambda b, m=model: _train(b, m, classes, unigram),
                          "i int, total double, n long")
         rows = sent.groupBy("i").agg((F.sum("total") / F.sum("n")).alias("x")).collect()
         if rows:
@@ -328,11 +363,7 @@ def _score(batches: Iterator[pa.RecordBatch], model: LanguageModel, frequent: di
         lowered = LOWER[data]
         kinds, logs = known(lowered, w)
         own, lengths = with_ends(kinds, w, 0), w.counts + 1
-        neural = np.empty(len(own))
-        before = contexts(own, lengths, start)
-        for a in range(0, len(own), 4 * BATCH):
-            b = a + 4 * BATCH
-            neural[a:b] = model.bilinear.log_probabilities(before[a:b], own[a:b]) * base10
+        neural = model.bilinear.log_probabilities(contexts(own, lengths, start), own) * base10
         neural -= model.class_log[own]
         rare = np.isnan(logs)
         starts = np.cumsum(lengths) - lengths
@@ -374,7 +405,7 @@ def language_scores(docs: DataFrame) -> DataFrame:
     # Repeated rows are counted, as their tokens come together.
     rare = (
         scanned.filter(F.size("rare") > 0).select("doc_id", "row", F.explode("rare").alias("token"))
-        .join(counts, "token").groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
+        .join(counts.hint("shuffle_hash"), "token").groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row"))
         .agg(F.sum(F.log10(F.col("c") + 1)).alias("rare_logs"), F.count(F.lit(1)).alias("rare_known"))
     )
     times = scanned.groupBy(F.col("doc_id").alias("_id"), F.col("row").alias("_row")).agg(F.count(F.lit(1)).alias("_times"))

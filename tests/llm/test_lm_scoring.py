@@ -75,6 +75,41 @@ def test_a_large_table_knows_each_word():
     assert np.allclose(logs[:20_000], np.log10(np.arange(20_000) + 1)) and np.isnan(logs[20_000:]).all()
 
 
+def test_every_round_learns_from_all_training_documents(spark, monkeypatch):
+    docs = documents(spark, [(i, f"word{i} and more") for i in range(60)])
+    train = sum(crc32(str(i).encode()) % 7 != 2 for i in range(60))
+    learnt, map_arrow = [], lm.map_arrow
+
+    def seen(df, function, schema):
+        found = map_arrow(df, function, schema)
+        if schema == "i int, total double, n long":
+            learnt.append((df.count(), found.agg({"n": "max"}).first()[0] is not None))
+        return found
+
+    monkeypatch.setattr(lm, "map_arrow", seen)
+    lm.language_scores(docs)
+    assert learnt == [(train, True)] * lm.ROUNDS and lm.ROUNDS >= 2
+
+
+def test_probabilities_of_repeated_contexts_are_those_of_each():
+    rng = np.random.RandomState(3)
+    model = lm.LogBilinear.start(np.full(10, 0.1))
+    context, target = rng.randint(0, 3, (5000, 3)), rng.randint(0, 10, 5000)
+    found = model.log_probabilities(context, target)
+    alone = [model.log_probabilities(context[i:i + 1], target[i:i + 1])[0] for i in range(200)]
+    scores = model.predicted(context).astype(float) @ model.q.T + model.b
+    assert np.allclose(found, scores[np.arange(5000), target] - np.log(np.exp(scores).sum(axis=1)), atol=1e-5)
+    assert np.allclose(found[:200], alone, atol=1e-5)
+
+
+def test_sums_of_rows_at_repeated_indexes():
+    rng = np.random.RandomState(4)
+    index, rows = rng.randint(0, 30, 200), rng.rand(100, 16).astype(np.float32)
+    expected = np.zeros((40, 16))
+    np.add.at(expected, index, np.concatenate([rows, rows]))
+    assert np.allclose(lm._sums(index, rows, 40), expected, atol=1e-4)
+
+
 def test_contexts_stop_at_the_start_of_a_document():
     found = lm.contexts(np.array([5, 6, 0, 7, 0]), np.array([3, 2]), 9)
     assert found.tolist() == [[9, 9, 9], [5, 9, 9], [6, 5, 9], [9, 9, 9], [7, 9, 9]]
