@@ -234,6 +234,24 @@ def test_a_folder_that_does_not_give_back_what_tasks_write_is_refused(spark, con
     stage._is_shared.cache_clear()
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {file for file in files.split("\n") if "/shuffle_" in file}
+
+
+@pytest.mark.parametrize("write", [lambda df: stage.stage(df, "sums")[0], lambda df: stage.write_once(df, "sums")])
+def test_a_staged_table_leaves_no_shuffle_files(spark, write):
+    option = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, own = shuffle_files(spark), spark.conf.get(option, None)
+    sums = spark.range(10_000).repartition(5, "id").groupBy((F.col("id") % 100).alias("k")).agg(F.sum("id").alias("s"))
+    staged = write(sums)
+    assert not shuffle_files(spark) - before
+    assert spark.conf.get(option, None) == own
+    # Neither the table nor the rows it was made of need them.
+    expected = {(k, sum(range(k, 10_000, 100))) for k in range(100)}
+    assert set(tuples(staged, "k", "s")) == set(tuples(sums, "k", "s")) == expected
+
+
 def test_what_a_load_stages_is_in_one_folder(spark, tmp_path):
     write_csv(staging(spark, sale(1), sale(2)), str(tmp_path / "in"))
     done = load_star(spark, CsvFolder(str(tmp_path / "in")), ParquetZone(str(tmp_path / "star")))
