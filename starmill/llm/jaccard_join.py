@@ -306,7 +306,9 @@ def _sent(part: np.ndarray, a: np.ndarray, crowds: bool) -> Iterator[pa.RecordBa
     starts = np.concatenate([[True], part[1:] != part[:-1]])
     first = np.flatnonzero(starts)[np.cumsum(starts) - 1]
     send = np.arange(len(part)) - first <= SMALL_MEETING
-    yield _rows(part[send], a[send], pa.nulls(int(send.sum()), pa.int64()))
+    # A set has many parts, and rows of one set compress well next to each other.
+    rows = np.flatnonzero(send) if crowds else np.flatnonzero(send)[np.argsort(a[send], kind="stable")]
+    yield _rows(part[rows], a[rows], pa.nulls(len(rows), pa.int64()))
     if not send.all():
         links = np.unique(np.stack([a[~send] if crowds else a[first[~send]], a[~send]]), axis=1)
         yield _rows(pa.nulls(links.shape[1], pa.int64()), links[0], links[1])

@@ -2,6 +2,7 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from corpus import awkward, documents, empty, sentence
 from starmill.llm import jaccard_join as jj
@@ -145,6 +146,14 @@ def test_crowded_meetings_lose_no_link(spark, monkeypatch, meeting):
     assert found(jj.near_duplicates(documents(spark, texts), 3, 80)) == brute(rows, 3, 80)
 
 
+def test_parts_of_a_set_are_sent_next_to_each_other():
+    # Few sets have each part, so all rows are sent.
+    part, a = np.tile(np.arange(50, dtype=np.uint64), 3), np.repeat([7, 5, 9], 50)
+    rows = pa.Table.from_batches(list(jj._sent(part, a, False)))
+    assert sorted(zip(rows["part"].to_pylist(), rows["a"].to_pylist())) == sorted(zip(part.tolist(), a.tolist()))
+    assert rows["a"].to_pylist() == [5] * 50 + [7] * 50 + [9] * 50
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(1000, 1100)]
