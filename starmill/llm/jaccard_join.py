@@ -48,7 +48,10 @@ SMALL_MEETING = 24
 COMMON_SETS = 24
 COMMON_LIMIT = 1 << 20
 _RARE_SHARE = 0.4
-_COUNTED = 2 << 20
+# Shingles are counted by so many first bits of their hash: the place where they are counted,
+# and three bytes. Some millions of them are packed at once.
+_PLACE_BITS, _LOW_BITS = 12, 24
+_PACKED = 2 << 20
 
 _PARITY_BITS = 1024
 _SMALL_BLOCK = 24
@@ -143,55 +146,105 @@ def _describe(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Reco
 
 @dataclass(frozen=True)
 class Common:
-    """Shingles that very many sets have, sorted, at most ``COMMON_LIMIT``, and for each a
-    number from 1 that grows with the sets that have it (if none are given, 1)."""
+    """Shingles that very many sets have, as the first ``bits`` of their hashes, sorted, at most
+    ``COMMON_LIMIT``, and for each a number from 1 that grows with the sets that have it (if none
+    are given, 1)."""
 
     hashes: np.ndarray
     grades: np.ndarray | None = None
+    bits: int = 64
 
     def __post_init__(self):
-        bits = np.zeros(1 << 24, bool)
-        bits[(self.hashes >> np.uint64(40)).astype(np.int64)] = True
-        object.__setattr__(self, "_bits", bits)
+        table = np.zeros(1 << 24, bool)
+        table[(self.hashes >> np.uint64(self.bits - 24)).astype(np.int64)] = True
+        object.__setattr__(self, "_table", table)
 
     def __reduce__(self):
-        return Common, (self.hashes, self.grades)
+        return Common, (self.hashes, self.grades, self.bits)
 
     def grade(self, values: np.ndarray) -> np.ndarray:
         """The grades of shingles, 0 for those that are not common."""
         found = np.zeros(len(values), np.int64)
-        at = np.flatnonzero(self._bits[(values >> np.uint64(40)).astype(np.int64)])
+        at = np.flatnonzero(self._table[(values >> np.uint64(40)).astype(np.int64)])
         if len(at):
-            place = np.minimum(np.searchsorted(self.hashes, values[at]), len(self.hashes) - 1)
-            found[at] = np.where(self.hashes[place] == values[at],
+            key = values[at] >> np.uint64(64 - self.bits)
+            place = np.minimum(np.searchsorted(self.hashes, key), len(self.hashes) - 1)
+            found[at] = np.where(self.hashes[place] == key,
                                  1 if self.grades is None else self.grades[place], 0)
         return found
 
 
-def _repeated(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
-    """(shingle, n): sets that have it among some millions of shingles, if three have."""
+def _packed(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
+    """(place, keys): all shingles of all sets, three bytes each, those of a place together."""
     held, size = [], 0
 
-    def counted() -> pa.RecordBatch:
-        shingle, n = np.unique(np.concatenate(held), return_counts=True)
-        often = n >= 3
-        return pa.RecordBatch.from_arrays(
-            [pa.array(shingle[often].view(np.int64)), pa.array(n[often])], names=["shingle", "n"])
+    def packed() -> pa.RecordBatch:
+        key = np.sort(np.concatenate(held)) >> np.uint64(64 - _PLACE_BITS - _LOW_BITS)
+        ends = np.searchsorted(key >> np.uint64(_LOW_BITS), np.arange((1 << _PLACE_BITS) + 1, dtype=np.uint64))
+        low = np.ascontiguousarray(key.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
+        keys = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
+            None, pa.py_buffer((ends * 3).astype(np.int32)), pa.py_buffer(low)])
+        rows = pa.RecordBatch.from_arrays([pa.array(np.arange(len(ends) - 1, dtype=np.int32)), keys], names=["place", "keys"])
+        return rows.filter(pa.array(ends[1:] > ends[:-1]))
 
     for batch in slices(batches, "text"):
         held.append(_unique_sets(batch, rule)[0])
         size += len(held[-1])
-        if size >= _COUNTED:
-            yield counted()
+        if size >= _PACKED:
+            yield packed()
             held, size = [], 0
-    if held:
-        yield counted()
+    if size:
+        yield packed()
+
+
+def _counted(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(shingle, n) of shingles that so many sets have, from the packed ones sorted by place."""
+    current, held, size = None, [], 0
+    merged = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def merge() -> tuple[np.ndarray, np.ndarray]:
+        low, n = np.unique(np.concatenate(held), return_counts=True)
+        if not len(merged[0]):
+            return low, n
+        both, at = np.unique(np.concatenate([merged[0], low]), return_inverse=True)
+        return both, np.bincount(at, weights=np.concatenate([merged[1], n])).astype(np.int64)
+
+    def finished() -> pa.RecordBatch:
+        low, n = merge() if held else merged
+        often = n >= least
+        return pa.RecordBatch.from_arrays(
+            [pa.array((current << _LOW_BITS) + low[often]), pa.array(n[often])], names=["shingle", "n"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        place, keys = batch.column("place").to_numpy(), batch.column("keys")
+        _, offsets, data = keys.buffers()
+        at = np.frombuffer(offsets, np.int32, len(keys) + 1, keys.offset * 4)
+        data = np.frombuffer(data, np.uint8)
+        first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
+        for a, b in zip(first, [*first[1:], len(place)]):
+            if int(place[a]) != current:
+                if current is not None:
+                    yield finished()
+                current, held, size = int(place[a]), [], 0
+                merged = np.zeros(0, np.int64), np.zeros(0, np.int64)
+            low = data[at[a]:at[b]].reshape(-1, 3).astype(np.int64)
+            held.append(low[:, 0] | low[:, 1] << 8 | low[:, 2] << 16)
+            size += len(held[-1])
+            if size >= _PACKED:
+                merged, held, size = merge(), [], 0
+    if current is not None:
+        yield finished()
 
 
 def common_shingles(docs: DataFrame, rule: Rule) -> Common:
-    """The most common shingles. They only steer where sets meet; links do not depend on it."""
-    found = map_arrow(docs.select("text"), lambda b: _repeated(b, rule), "shingle long, n long")
-    found = found.groupBy("shingle").agg(F.sum("n").alias("n")).filter(F.col("n") >= COMMON_SETS)
+    """The most common shingles, all counted. They only steer where sets meet; links do not
+    depend on it, nor on whether two shingles are counted as one."""
+    least_sets = COMMON_SETS
+    packed = map_arrow(docs.select("text"), lambda b: _packed(b, rule), "place int, keys binary")
+    packed = packed.repartition("place").sortWithinPartitions("place")
+    found = map_arrow(packed, lambda b: _counted(b, least_sets), "shingle long, n long")
     grade = F.floor(4 * F.log2("n")).cast("int")
     found, _ = stage(found.select("shingle", grade.alias("grade")), "common")
     # The lowest grade down to which there are not too many.
@@ -204,7 +257,7 @@ def common_shingles(docs: DataFrame, rule: Rule) -> Common:
     rows = found.filter(F.col("grade") >= least).toArrow()
     hashes = rows.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    return Common(hashes[order], rows.column("grade").to_numpy()[order].astype(np.int64))
+    return Common(hashes[order], rows.column("grade").to_numpy()[order].astype(np.int64), _PLACE_BITS + _LOW_BITS)
 
 
 def _meeting_places(values: np.ndarray, offsets: np.ndarray, rule: Rule, common: Common
@@ -454,9 +507,10 @@ def _id_filter(ids: DataFrame) -> bytes:
 
 
 def _block(nodes: np.ndarray, values: np.ndarray, offsets: np.ndarray, asked: np.ndarray,
-           rule: Rule) -> tuple[list[int], list[int]]:
+           rule: Rule, side: np.ndarray | None = None) -> tuple[list[int], list[int]]:
     """Links between the sets of a block that have its components, each with an asked set: of
-    every component one from its smallest node to each other."""
+    every component one from its smallest node to each other. Given sides, sets of one side are
+    not compared."""
     n, sizes = len(nodes), np.diff(offsets)
     owner = np.repeat(np.arange(n), sizes)
     parity = 1 - 2 * _parities(values, offsets).astype(np.float32) if n > _SMALL_BLOCK else None
@@ -470,6 +524,8 @@ def _block(nodes: np.ndarray, values: np.ndarray, offsets: np.ndarray, asked: np
     for i in np.flatnonzero(asked):
         others = label != label[i]
         others[:i] &= ~asked[:i]  # compared in their turn
+        if side is not None:
+            others &= side != side[i]
         least = rule.least_overlap(sizes, sizes[i])
         others &= least <= np.minimum(sizes, sizes[i])
         if parity is not None and others.any():
@@ -500,31 +556,35 @@ def _compare(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Recor
     current, held = None, []
 
     def finished() -> pa.RecordBatch:
-        # A set of a repeated row, or one that is on both sides of a block, is here twice.
+        # A set of a repeated row is here twice.
         at = {}
-        for node, asked, values in held:
-            at[node] = (asked or at.get(node, (False,))[0], values)
-        sets = [v for _, v in at.values()]
+        for node, asked, part, values in held:
+            at[node] = (asked or at.get(node, (False,))[0], part, values)
+        sets = [v for _, _, v in at.values()]
         offsets = np.concatenate([[0], np.cumsum([len(v) for v in sets])]).astype(np.int64)
+        _, y, z = current
+        side = np.array([p == y for _, p, _ in at.values()]) if y != z else None
         return _edges(*_block(np.array(list(at), np.int64), np.concatenate(sets).view(np.uint64), offsets,
-                              np.array([a for a, _ in at.values()]), rule))
+                              np.array([a for a, _, _ in at.values()]), rule, side))
 
     for batch in batches:
         keys = list(zip(*(batch.column(c).to_pylist() for c in "xyz")))
-        nodes, asked = batch.column("node").to_pylist(), batch.column("asked").to_pylist()
+        nodes, asked, part = (batch.column(c).to_pylist() for c in ("node", "asked", "part"))
         lists = batch.column("set")
         for i, key in enumerate(keys):
             if key != current and held:
                 yield finished()
                 held = []
             current = key
-            held.append((nodes[i], asked[i], lists[i].values.to_numpy()))
+            held.append((nodes[i], asked[i], part[i], lists[i].values.to_numpy()))
     if held:
         yield finished()
 
 
 def _blocks(rows: DataFrame, rule: Rule) -> DataFrame:
-    placed = rows.repartition("x", "y", "z").sortWithinPartitions("x", "y", "z")
+    """Links in blocks (x, y, z): between the sets of parts y and z, or if these are one, all."""
+    placed = rows.select("x", "y", "z", "asked", "part", "node", "set")
+    placed = placed.repartition("x", "y", "z").sortWithinPartitions("x", "y", "z")
     return map_arrow(placed, lambda b: _compare(b, rule), "a long, b long")
 
 
@@ -533,21 +593,22 @@ def _links(sets: DataFrame, cut: bool, rule: Rule) -> DataFrame:
 
     A cluster of several parts is compared part by part. Then the first sets of the largest
     component of each part are compared, which joins the parts of a group of copies. If
-    sets are left outside the largest component of the cluster, each is compared with all
-    sets of the cluster, in blocks of two parts. So a pair is left out only if its sets are
-    in one component already.
+    sets are left outside the largest component of the cluster, each is compared with the
+    sets of all other parts, in blocks of two parts; those of its own it was compared with. So a
+    pair is left out only if its sets are in one component already.
     """
-    zero, yes = F.lit(0), F.lit(True)
+    yes = F.lit(True)
     found, _ = stage(_blocks(sets.select(
-        F.col("cluster").alias("x"), F.col("part").alias("y"), zero.alias("z"), yes.alias("asked"), "node", "set"),
-        rule), "links")
+        F.col("cluster").alias("x"), F.col("part").alias("y"), F.col("part").alias("z"), yes.alias("asked"),
+        "part", "node", "set"), rule), "links")
     if not cut:
         return found
     large = sets.filter("parts > 1")
+    keys = large.select("cluster", "part", "parts", "node").distinct()
 
     def labelled(edges: DataFrame) -> DataFrame:
         roots = components(edges, "block-components")
-        return large.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+        return keys.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
 
     def largest(rows: DataFrame, *by: str) -> DataFrame:
         sizes = rows.groupBy(*by, "root").agg(F.count(F.lit(1)).alias("n"))
@@ -555,25 +616,30 @@ def _links(sets: DataFrame, cut: bool, rule: Rule) -> DataFrame:
 
     # A root is a node of its part here.
     heads = largest(labelled(found).select("cluster", "part", "root"), "cluster", "part")
-    heads = large.join(heads.select(F.col("main").alias("node"), "cluster", "part"), ["cluster", "part", "node"])
+    heads, n_heads = stage(heads.select(F.col("main").alias("node"), "cluster", "part"), "heads")
+    heads = large.join(sent(heads, n_heads), ["cluster", "part", "node"])
+    slot = F.floor(F.col("part") / BLOCK_SETS).cast("int")
     between, _ = stage(_blocks(heads.select(
-        F.col("cluster").alias("x"), F.floor(F.col("part") / BLOCK_SETS).cast("int").alias("y"), zero.alias("z"),
-        yes.alias("asked"), "node", "set"), rule), "links")
+        F.col("cluster").alias("x"), slot.alias("y"), slot.alias("z"), yes.alias("asked"), "part", "node", "set"),
+        rule), "links")
     found = found.union(between)
 
     rows = labelled(found)
     main = largest(rows.select("cluster", "root"), "cluster")
-    left = rows.join(main, "cluster").filter("root <> main").select("cluster", "part", "parts", "node", "set")
-    left, n_left = stage(left, "left-sets")
+    rows = rows.join(main, "cluster").select(
+        "cluster", "part", "parts", "node", (F.col("root") != F.col("main")).alias("asked"))
+    rows, _ = stage(rows, "placed-sets")
+    left, n_left = stage(rows.filter("asked"), "left-sets")
     if not n_left:
         return found
-    asked_parts = left.select("cluster", "part").distinct().withColumnRenamed("part", "z")
-    asked = left.select(
-        F.col("cluster").alias("x"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("y"),
-        F.col("part").alias("z"), yes.alias("asked"), "node", "set")
-    others = large.join(asked_parts, "cluster").select(
-        F.col("cluster").alias("x"), F.col("part").alias("y"), "z", F.lit(False).alias("asked"), "node", "set")
-    across, _ = stage(_blocks(asked.unionByName(others), rule), "links")
+    # A set that is left meets all other parts, another one those that have sets that are left.
+    asked_parts = left.select("cluster", F.col("part").alias("other")).distinct()
+    meets = left.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).unionByName(
+        rows.filter("not asked").join(asked_parts, "cluster")).filter("other <> part")
+    meets = meets.select(
+        F.col("cluster").alias("x"), F.least("part", "other").alias("y"), F.greatest("part", "other").alias("z"),
+        "asked", "part", "node")
+    across, _ = stage(_blocks(meets.join(large.select("node", "set").dropDuplicates(["node"]), "node"), rule), "links")
     return found.union(across)
 
 
@@ -634,13 +700,14 @@ def near_duplicates(docs: DataFrame, words_per_shingle: int = 5, percent: int =
         linkable.groupBy("node", "check").agg(F.min("doc_id").alias("doc_id"), F.max("n_shingles").alias("n"))
         .join(clusters, "node")
     )
-    members, _ = stage(members, "members")
+    members, n_members = stage(members, "members")
     need = F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_SETS), F.ceil(F.sum("n") / BLOCK_SHINGLES))
     sizes, _ = stage(members.groupBy("cluster").agg(need.cast("int").alias("parts")), "clusters")
     cut = bool(sizes.filter("parts > 1").limit(1).count())
     wanted = _id_filter(members)
     sets = map_arrow(named, lambda b: _fetch(b, rule, wanted), "doc_id long, node long, check long, set array<long>")
-    sets = sets.join(members.select("doc_id", "node", "check", "cluster"), ["doc_id", "node", "check"]).join(sizes, "cluster")
+    named_sets, _ = stage(members.join(sizes, "cluster").select("doc_id", "node", "check", "cluster", "parts"), "named-sets")
+    sets = sets.join(sent(named_sets, n_members), ["doc_id", "node", "check"])
     sets = sets.withColumn("part", F.pmod(F.xxhash64("node"), "parts").cast("int")).select(
         "cluster", "part", "parts", "node", "set")
     sets, _ = stage(sets, "block-sets")

@@ -154,6 +154,49 @@ def test_parts_of_a_set_are_sent_next_to_each_other():
     assert rows["a"].to_pylist() == [5] * 50 + [7] * 50 + [9] * 50
 
 
+def test_shingles_are_counted_over_all_tasks(spark):
+    """A passage that each task sees once is as common as one that a task sees often."""
+    rng = random.Random(4)
+    passage = sentence(rng, 12)
+    texts = [sentence(rng, 20) + " " + passage for _ in range(jj.COMMON_SETS)] + [sentence(rng, 20)]
+    docs = documents(spark, texts).repartition(len(texts))
+    rule = jj.Rule(3, 80)
+    common = jj.common_shingles(docs, rule)
+    values, _ = jj._unique_sets(pa.RecordBatch.from_pydict({"text": [passage]}), rule)
+    assert (common.grade(values) > 0).all() and len(common.hashes) == 10
+    other, _ = jj._unique_sets(pa.RecordBatch.from_pydict({"text": [texts[-1]]}), rule)
+    assert not common.grade(other).any()
+
+
+@pytest.mark.parametrize("packed", [50, 1 << 20])
+def test_packed_shingles_give_exact_counts(monkeypatch, packed):
+    monkeypatch.setattr(jj, "_PACKED", packed)
+    rng, rule = random.Random(packed), jj.Rule(2, 80)
+    vocabulary = sentence(rng, 12).split()
+    texts = [" ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 40))) for _ in range(60)] + [None]
+    batches = [pa.RecordBatch.from_pydict({"text": pa.array(texts[i:i + 9], pa.string())}) for i in range(0, 61, 9)]
+    rows = pa.Table.from_batches([r for b in batches for r in jj._packed(iter([b]), rule)]).sort_by("place")
+    result = pa.Table.from_batches(list(jj._counted(iter(rows.to_batches(max_chunksize=7)), 3)))
+    values = np.concatenate([jj._unique_sets(b, rule)[0] for b in batches])
+    shingle, n = np.unique(values >> np.uint64(28), return_counts=True)
+    expected = [(int(k), int(c)) for k, c in zip(shingle, n) if c >= 3]
+    assert sorted(zip(result["shingle"].to_pylist(), result["n"].to_pylist())) == expected and expected
+
+
+def test_sets_of_a_cut_cluster_are_sent_once_to_each_other_part(spark, monkeypatch):
+    rng, rule, parts = np.random.RandomState(1), jj.Rule(3, 80), 4
+    rows = [(1, i % parts, parts, i, np.unique(rng.randint(0, 1 << 60, 30)).tolist()) for i in range(40)]
+    # 1 and 2 are the first of their parts, 38 and 39 are left over.
+    rows[2] = (*rows[2][:4], rows[1][4])
+    rows[39] = (*rows[39][:4], sorted([*rows[38][4][:28], 5]))
+    sets = spark.createDataFrame(rows, "cluster long, part int, parts int, node long, set array<long>")
+    sent, blocks = [], jj._blocks
+    monkeypatch.setattr(jj, "_blocks", lambda df, r: sent.append(df.count()) or blocks(df, r))
+    links = jj._links(sets, True, rule)
+    assert sorted((r.a, r.b) for r in links.distinct().collect()) == [(1, 2), (38, 39)]
+    assert sent[0] == 40 and sent[-1] <= 40 * (parts - 1)
+
+
 def test_components_of_a_path_and_a_star(spark):
     path = [(i, i + 1) for i in range(100, 160)]
     star = [(7, i) for i in range(1000, 1100)]
