@@ -223,6 +223,19 @@ def test_a_mount_that_all_machines_share_is_used_on_a_cluster(spark, conf):
     assert all(spark.conf.get("spark.checkpoint.dir") in file for file in staged.inputFiles())
 
 
+def test_the_warehouse_is_used_on_a_cluster_without_a_checkpoint_folder(spark, conf, tmp_path):
+    class Conf:
+        def get(self, name, default=None):
+            own = {"spark.checkpoint.dir": default, "spark.sql.warehouse.dir": str(tmp_path)}
+            return own[name] if name in own else spark.conf.get(name, default)
+
+    class Cluster:
+        sparkContext, range, read, conf = spark.sparkContext, spark.range, spark.read, Conf()
+
+    conf("spark.master", "spark://host:7077")
+    assert stage_folder(Cluster()) == str(tmp_path)
+
+
 def test_a_folder_that_does_not_give_back_what_tasks_write_is_refused(spark, conf, monkeypatch):
     conf("spark.master", "spark://host:7077")
     stage._is_shared.cache_clear()
