@@ -56,6 +56,11 @@ _PACKED = 2 << 20
 _PARITY_BITS = 1024
 _SMALL_BLOCK = 24
 
+# Bytes of text whose words are hashed at once, and sets whose parities are counted at once. A
+# worker keeps the memory of its largest arrays for the tasks after, so these are small.
+_HASHED_BYTES = 1 << 17
+_COUNTED_SETS = 256
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -102,9 +107,11 @@ def _classes(percent: int, upto: int) -> np.ndarray:
 
 def _unique_sets(batch: pa.RecordBatch, rule: Rule) -> tuple[np.ndarray, np.ndarray]:
     """All shingles of all texts, distinct and sorted within each, and the offsets."""
-    runs, owner = shingles(words(*utf8(batch.column("text")), NOT_SPACE), rule.words)
-    ends = np.searchsorted(owner, np.arange(batch.num_rows + 1))
-    sets = [np.unique(runs[a:b]) for a, b in zip(ends[:-1], ends[1:])]
+    sets = []
+    for piece in slices(iter([batch]), "text", _HASHED_BYTES):
+        runs, owner = shingles(words(*utf8(piece.column("text")), NOT_SPACE), rule.words)
+        ends = np.searchsorted(owner, np.arange(piece.num_rows + 1))
+        sets += [np.unique(runs[a:b]) for a, b in zip(ends[:-1], ends[1:])]
     return (np.concatenate(sets) if sets else np.zeros(0, np.uint64),
             np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int64))
 
@@ -128,9 +135,13 @@ def _parities(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Per set, a bit for each of ``_PARITY_BITS`` classes of shingles: whether it has an odd
     number of them. Two sets differ in at least as many shingles as in bits."""
     n = len(offsets) - 1
-    owner = np.repeat(np.arange(n), np.diff(offsets))
-    at = owner * _PARITY_BITS + (values % np.uint64(_PARITY_BITS)).astype(np.int64)
-    return (np.bincount(at, minlength=n * _PARITY_BITS) & 1).astype(np.uint8).reshape(n, _PARITY_BITS)
+    odd = np.zeros((n, _PARITY_BITS), np.uint8)
+    for i in range(0, n, _COUNTED_SETS):
+        ends = offsets[i:i + _COUNTED_SETS + 1]
+        owner = np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+        at = owner * _PARITY_BITS + (values[ends[0]:ends[-1]] % np.uint64(_PARITY_BITS)).astype(np.int64)
+        odd[i:i + len(ends) - 1] = (np.bincount(at, minlength=(len(ends) - 1) * _PARITY_BITS) & 1).reshape(-1, _PARITY_BITS)
+    return odd
 
 
 def _describe(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.RecordBatch]:
@@ -179,8 +190,11 @@ def _packed(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Record
     held, size = [], 0
 
     def packed() -> pa.RecordBatch:
-        key = np.sort(np.concatenate(held)) >> np.uint64(64 - _PLACE_BITS - _LOW_BITS)
-        ends = np.searchsorted(key >> np.uint64(_LOW_BITS), np.arange((1 << _PLACE_BITS) + 1, dtype=np.uint64))
+        key = np.concatenate(held)
+        held.clear()
+        key >>= np.uint64(64 - _PLACE_BITS - _LOW_BITS)
+        key.sort()
+        ends = np.searchsorted(key, np.arange((1 << _PLACE_BITS) + 1, dtype=np.uint64) << np.uint64(_LOW_BITS))
         low = np.ascontiguousarray(key.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3])
         keys = pa.Array.from_buffers(pa.binary(), len(ends) - 1, [
             None, pa.py_buffer((ends * 3).astype(np.int32)), pa.py_buffer(low)])
@@ -192,7 +206,7 @@ def _packed(batches: Iterator[pa.RecordBatch], rule: Rule) -> Iterator[pa.Record
         size += len(held[-1])
         if size >= _PACKED:
             yield packed()
-            held, size = [], 0
+            size = 0
     if size:
         yield packed()
 
@@ -257,7 +271,8 @@ def common_shingles(docs: DataFrame, rule: Rule) -> Common:
     rows = found.filter(F.col("grade") >= least).toArrow()
     hashes = rows.column("shingle").to_numpy().view(np.uint64)
     order = np.argsort(hashes)
-    return Common(hashes[order], rows.column("grade").to_numpy()[order].astype(np.int64), _PLACE_BITS + _LOW_BITS)
+    # A grade is at most 4 * 63.
+    return Common(hashes[order], rows.column("grade").to_numpy()[order].astype(np.uint8), _PLACE_BITS + _LOW_BITS)
 
 
 def _meeting_places(values: np.ndarray, offsets: np.ndarray, rule: Rule, common: Common
@@ -513,7 +528,11 @@ def _block(nodes: np.ndarray, values: np.ndarray, offsets: np.ndarray, asked: np
     not compared."""
     n, sizes = len(nodes), np.diff(offsets)
     owner = np.repeat(np.arange(n), sizes)
-    parity = 1 - 2 * _parities(values, offsets).astype(np.float32) if n > _SMALL_BLOCK else None
+    parity = None
+    if n > _SMALL_BLOCK:
+        parity = _parities(values, offsets).astype(np.float32)
+        parity *= -2
+        parity += 1
     # Columns of the matrix; one with a single entry adds to no overlap.
     _, column, count = np.unique(values, return_inverse=True, return_counts=True)
     shared = count[column] > 1

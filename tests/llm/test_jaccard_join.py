@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -203,3 +204,45 @@ def test_components_of_a_path_and_a_star(spark):
     edges = spark.createDataFrame([*path, *star, (5, 5), (1000, 1001), (None, 3)], "a long, b long")
     roots = {r.node: r.root for r in components(edges, "test").collect()}
     assert roots == {**{i: 100 for i in range(101, 161)}, **{i: 7 for i in range(1000, 1100)}}
+
+
+def most_bytes(work):
+    """What ``work`` returns, and the bytes it holds at most."""
+    tracemalloc.start()
+    try:
+        return work(), tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_worker_holds_a_few_arrays_of_its_texts_at_once():
+    rule = jj.Rule(5, 80)
+    own = [" ".join(f"w{i * 7 % 9973}" for i in range(k, k + 1000)) for k in range(0, 160_000, 1000)]
+    texts = [None, "", "two words", *own]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    size = sum(len(t) for t in own)
+    assert 1 << 19 < size < 1 << 20
+    jj._unique_sets(batch.slice(0, 10), rule)
+    (values, offsets), held = most_bytes(lambda: jj._unique_sets(batch, rule))
+    assert held < 16 * size
+    alone = [jj._unique_sets(batch.slice(i, 1), rule)[0] for i in range(len(texts))]
+    assert values.tolist() == np.concatenate(alone).tolist()
+    assert np.diff(offsets).tolist() == [len(a) for a in alone]
+
+    many = np.arange(4096 * 20, dtype=np.uint64)
+    odd, held = most_bytes(lambda: jj._parities(many, np.arange(0, len(many) + 1, 20)))
+    assert held < 3 * odd.nbytes
+    assert all(set(np.flatnonzero(odd[i])) == {v % 1024 for v in range(i * 20, i * 20 + 20)} for i in (0, 255, 256, 4095))
+
+
+def test_shingles_are_packed_in_little_more_than_their_own_memory(monkeypatch):
+    sets = np.random.RandomState(1).randint(0, 1 << 62, (16, 1 << 14)).astype(np.uint64)
+    left = iter(sets)
+    batch = pa.RecordBatch.from_arrays([pa.array(["x"])], names=["text"])
+    monkeypatch.setattr(jj, "_unique_sets", lambda batch, rule: (next(left).copy(), None))
+    monkeypatch.setattr(jj, "_PACKED", sets.size)
+    rows, held = most_bytes(lambda: list(jj._packed(iter([batch] * 16), jj.Rule(5, 80))))
+    assert held < 2.5 * sets.nbytes
+    place, keys = (rows[0].column(c).to_pylist() for c in ("place", "keys"))
+    low = [p << 24 | int.from_bytes(k[i:i + 3], "little") for p, k in zip(place, keys) for i in range(0, len(k), 3)]
+    assert low == sorted(int(v) >> 28 for v in sets.ravel())
