@@ -1,6 +1,7 @@
 from decimal import Decimal
 from pathlib import Path
 
+import __spark_entry__
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,7 +10,7 @@ from starmill.plans.jobs import load_marts, load_staging, load_star
 from starmill.plans.marts import MARTS, build_mart
 from starmill.schemas import MART_ORDER, STAGING_TABLE, staging_schema
 from starmill.sources import stage
-from starmill.sources.csv_files import CsvFolder, read_csv, write_csv
+from starmill.sources.csv_files import PACKED, CsvFolder, read_csv, write_csv
 from starmill.sources.jdbc import clickhouse, clickhouse_definition, postgres
 from starmill.sources.stage import SHARED_MOUNT, stage_folder
 from starmill.sources.zone import ParquetZone
@@ -74,6 +75,27 @@ def test_csv_has_no_empty_text(spark, tmp_path):
     assert tuples(back, "id", "pet_category") == [(1, None)]
 
 
+def test_packed_csv_is_read_like_plain_csv(spark, tmp_path, monkeypatch):
+    texts = (' "a", \\ \n b ', 'x\r', '"', ",\n\n,", "plain", None)
+    rows = staging(spark, *[sale(k, customer_first_name=texts[k % 6], product_name=texts[k % 5]) for k in range(60)])
+    monkeypatch.setitem(PACKED, "maxRecordsPerFile", 7)
+    assert write_csv(rows.coalesce(1), str(tmp_path / "out"), packed=True) == 60
+    assert len(list((tmp_path / "out").glob("*.csv.gz"))) == 9
+    assert tuples(read_csv(spark, str(tmp_path / "out"), staging_schema()), "*") == tuples(rows, "*")
+
+
+def staged_bytes(made, monkeypatch, path):
+    """Bytes of what a query stages as CSV."""
+    monkeypatch.setattr(__spark_entry__, "new_stage_path", lambda _, name: str(path / name))
+    made()
+    return sum(f.stat().st_size for f in path.rglob("part-*"))
+
+
+def test_csv_roundtrip_stages_less_than_a_third_of_the_text(spark, ws, tmp_path, monkeypatch):
+    plain = write_csv(ws.staging, str(tmp_path / "plain")) and sum(f.stat().st_size for f in (tmp_path / "plain").glob("part-*"))
+    assert staged_bytes(lambda: __spark_entry__.csv_roundtrip(ws), monkeypatch, tmp_path / "staged") * 3 < plain
+
+
 def test_zone_shows_the_last_load(spark, tmp_path):
     zone = ParquetZone(str(tmp_path))
     one, two = staging(spark, sale(1)), staging(spark, sale(1), sale(2))
