@@ -96,6 +96,12 @@ def test_csv_roundtrip_stages_less_than_a_third_of_the_text(spark, ws, tmp_path,
     assert staged_bytes(lambda: __spark_entry__.csv_roundtrip(ws), monkeypatch, tmp_path / "staged") * 3 < plain
 
 
+@pytest.mark.parametrize("name", ["csv_rejects", "audit_precision"])
+def test_planted_csv_takes_less_than_a_third_of_the_text(spark, ws, tmp_path, monkeypatch, name):
+    plain = write_csv(ws.staging, str(tmp_path / "plain")) and sum(f.stat().st_size for f in (tmp_path / "plain").glob("part-*"))
+    assert staged_bytes(lambda: getattr(__spark_entry__, name)(ws), monkeypatch, tmp_path / "staged") * 3 < plain
+
+
 def test_zone_shows_the_last_load(spark, tmp_path):
     zone = ParquetZone(str(tmp_path))
     one, two = staging(spark, sale(1)), staging(spark, sale(1), sale(2))
