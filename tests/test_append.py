@@ -1,6 +1,7 @@
 from collections import Counter
 from decimal import Decimal
 
+import __spark_entry__
 import pytest
 from pyspark.sql import functions as F
 from sales import sale, staging
@@ -94,3 +95,16 @@ def test_a_star_replaced_since_is_not_appended_to(spark, tmp_path):
     load_star(spark, source, zone)
     with pytest.raises(ValueError, match="not appendable"):
         load_star(spark, source, zone, "append")
+
+
+def test_star_appended_moves_sales_for_no_small_dimension(spark, ws, conf):
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    plan = __spark_entry__.star_appended(ws)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BroadcastHashJoin") == len(DIMENSIONS) and "SortMergeJoin" not in plan
+
+
+def test_star_appended_takes_up_large_dimensions_while_sales_are_narrow():
+    shown = [(dim.table, len(__spark_entry__.shown(dim))) for dim in __spark_entry__.WIDENING]
+    assert sorted(table for table, _ in shown) == sorted(dim.table for dim in DIMENSIONS)
+    large = [n for table, n in shown if table in ("dim_supplier", "dim_customer", "dim_product")]
+    assert [n for _, n in shown[:3]] == large == sorted(large)
